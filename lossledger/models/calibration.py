@@ -1,0 +1,126 @@
+"""Probability calibration of the logistic PD model on the validation split."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import IsotonicRegression
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lossledger.models.preprocessing import SCALED, fit_preprocessor, typed_features
+from lossledger.models.training import PD_SPEC, estimators, prepare, with_label
+from lossledger.operators import metrics, splitting
+from lossledger.session import materialize
+
+METHODS = ["sigmoid", "isotonic"]
+
+
+@dataclass(frozen=True)
+class CalibrationResult:
+    """Out-of-time metrics per method, and the long out-of-time scores: model, predicted_pd, target."""
+
+    metrics: DataFrame
+    scores: DataFrame
+
+
+def fit_sigmoid(valid: DataFrame, margin: str = "margin", label: str = "label"):
+    """Logistic curve over the margin with smoothed targets.
+
+    A smoothed target t is a positive row of weight t and a negative one of weight 1 - t.
+    """
+    counts = valid.agg(F.sum(label).alias("pos"), F.sum(1 - F.col(label)).alias("neg")).first()
+    target = F.when(F.col(label) == 1, (counts["pos"] + 1) / (counts["pos"] + 2)).otherwise(1 / (counts["neg"] + 2))
+    weighted = valid.select(
+        margin,
+        F.inline(
+            F.array(
+                F.struct(F.lit(1.0).alias("y"), target.alias("w")),
+                F.struct(F.lit(0.0).alias("y"), (1 - target).alias("w")),
+            )
+        ),
+    )
+    assembled = VectorAssembler(inputCols=[margin], outputCol="x").transform(weighted)
+    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", maxIter=200, tol=1e-10).fit(assembled)
+    slope, intercept = float(model.coefficients[0]), float(model.intercept)
+    return lambda rows: rows.withColumn("calibrated", 1 / (1 + F.exp(-(slope * F.col(margin) + intercept))))
+
+
+def fit_isotonic(valid: DataFrame, margin: str = "margin", label: str = "label"):
+    model = IsotonicRegression(featuresCol=margin, labelCol=label, predictionCol="calibrated").fit(valid)
+    return model.transform
+
+
+FITTERS = {"sigmoid": fit_sigmoid, "isotonic": fit_isotonic}
+
+
+def calibrate_margins(
+    valid: DataFrame, oot: DataFrame, methods: Sequence[str] = METHODS, target: str = PD_SPEC.target
+) -> CalibrationResult:
+    """Compare the raw probability with each calibration of its margin.
+
+    Both frames have margin, label and raw (probability) columns. A method that cannot be fitted
+    gets a row without metrics and the reason.
+    """
+    spark = oot.sparkSession
+    scored = {"raw": oot.withColumn("calibrated", F.col("raw"))}
+    failed: list[tuple[str, str]] = []
+    for method in methods:
+        try:
+            scored[method] = FITTERS[method](valid)(oot)
+        except Exception as error:
+            failed.append((method, str(error)))
+    parts = [
+        rows.select(
+            F.lit(method).alias("model"), F.col("calibrated").alias("predicted_pd"), F.col("label").cast("int").alias(target)
+        )
+        for method, rows in scored.items()
+    ]
+    scores = parts[0]
+    for part in parts[1:]:
+        scores = scores.unionByName(part)
+    scores = materialize(scores)
+
+    report = metrics.binary_metrics(scores, "predicted_pd", target, by=["model"]).withColumn(
+        "error", F.lit(None).cast("string")
+    )
+    if failed:
+        base = report.filter(F.col("model") == "raw").select("rows", "observed_default_rate")
+        missing = spark.createDataFrame(failed, "model string, error string").join(F.broadcast(base), F.lit(True))
+        report = report.unionByName(missing, allowMissingColumns=True)
+    method = F.col("model")
+    named = report.withColumns(
+        {
+            "calibration_method": F.when(method == "raw", "none").otherwise(method),
+            "split": F.lit("oot"),
+            "model": F.concat(
+                F.lit("logistic_regression_"), method, F.when(method == "raw", "").otherwise("_calibrated")
+            ),
+        }
+    )
+    head = ["model", "calibration_method", "split", "rows"]
+    return CalibrationResult(named.select(*head, *[c for c in report.columns if c not in head]), scores)
+
+
+def calibrate_pd(sample: DataFrame, methods: Sequence[str] = METHODS, max_rows: int | None = None) -> CalibrationResult:
+    """Fit the logistic model on train, calibrate it on valid, compare out of time."""
+    prepared, _, _ = prepare(sample, PD_SPEC, max_rows)
+    rows = with_label(typed_features(prepared.split, prepared.numeric, prepared.categorical), PD_SPEC)
+    train = splitting.split_part(rows, "train")
+    preprocessor = fit_preprocessor(train, prepared.numeric, prepared.categorical)
+    vectors = preprocessor.transform(train).select("label", SCALED).persist()
+    estimator = estimators(PD_SPEC, vectors.count(), 1.0, boosting=False)["logistic_regression"]
+    model = estimator.fit(vectors)
+    vectors.unpersist()
+    margins = model.transform(preprocessor.transform(rows.filter(F.col("split") != "train"))).select(
+        "split",
+        "label",
+        vector_to_array(F.col("_margin_logistic_regression"))[1].alias("margin"),
+        vector_to_array(F.col("_probability_logistic_regression"))[1].alias("raw"),
+    )
+    stored = materialize(margins)
+    return calibrate_margins(splitting.split_part(stored, "valid"), splitting.split_part(stored, "oot"), methods)

@@ -34,23 +34,20 @@ def latest_row(df: DataFrame, by: str, on: str, prefer: Sequence[str] = (), not_
     return rows.groupBy(by).agg(F.max(_ordered_row(df, on, prefer, by)).alias("_row")).select(by, "_row.*")
 
 
-def asof_join(left: DataFrame, histories: Sequence[History], by: str, left_on: str) -> DataFrame:
+def asof_join(
+    left: DataFrame, histories: Sequence[History], by: str, left_on: str, attributes: DataFrame | None = None
+) -> DataFrame:
     """Left join each history's latest row dated on or before `left_on`.
 
     Both date columns must be DATEs. The histories are first reduced to one row per key and
     day and the left side to its distinct (key, day) pairs, so a key has at most one row per
     calendar day and side: no pairs are formed within a key, and the window below has a bounded
     group even when one key holds a large part of the rows. Several histories share one window
-    and one join back.
+    and one join back. `attributes` (one row per key) ride along: they join the reduced rows,
+    which are already partitioned by key, instead of the full left side.
     """
     slots = [f"_row{i}" for i in range(len(histories))]
-    asked = (
-        left.filter(F.col(by).isNotNull() & F.col(left_on).isNotNull())
-        .select(by, F.col(left_on).alias("_at"))
-        .distinct()
-        .withColumn("_asked", F.lit(1))
-    )
-    timeline = asked
+    timeline = left.select(by, F.col(left_on).alias("_at")).distinct().withColumn("_asked", F.lit(1))
     for slot, history in zip(slots, histories):
         rows = history.rows.filter(F.col(by).isNotNull() & F.col(history.on).isNotNull())
         daily = rows.groupBy(by, F.col(history.on).alias("_at")).agg(
@@ -58,11 +55,19 @@ def asof_join(left: DataFrame, histories: Sequence[History], by: str, left_on: s
         )
         timeline = timeline.unionByName(daily.withColumn("_asked", F.lit(0)), allowMissingColumns=True)
 
+    # A missing date sorts first, before anything is known.
     until_now = Window.partitionBy(by).orderBy("_at", "_asked").rowsBetween(Window.unboundedPreceding, 0)
     answered = (
         timeline.withColumns({slot: F.last(slot, ignorenulls=True).over(until_now) for slot in slots})
         .filter("_asked = 1")
         .drop("_asked")
     )
-    joined = left.withColumn("_at", F.col(left_on)).join(answered, [by, "_at"], "left")
-    return joined.select(*[joined[c] for c in left.columns], *[f"{slot}.*" for slot in slots])
+    carried: list[str] = []
+    if attributes is not None:
+        answered = answered.join(attributes, by, "left")
+        carried = [c for c in attributes.columns if c != by]
+    found = answered.withColumnsRenamed({by: "_by"})
+    matched = F.col(by).eqNullSafe(F.col("_by")) & F.col(left_on).eqNullSafe(F.col("_at"))
+    return left.join(found, matched, "left").select(
+        *left.columns, *carried, *[f"{slot}.*" for slot in slots]
+    )

@@ -16,7 +16,7 @@ from lossledger.functions.credit import (
     wilson_bounds,
 )
 from lossledger.functions.numeric import numeric_column, total
-from lossledger.operators.ordering import global_rank, quantiles, rank_first_bin
+from lossledger.operators.ordering import count_below, global_rank, quantiles, rank_first_bin
 
 
 def scored_rows(predictions: DataFrame, pd_column: str, target: str) -> DataFrame:
@@ -220,17 +220,17 @@ def calibration_by_score_bin(scores: DataFrame, target: str = "target_default_12
     ties leave fewer bins. Cut points are at most `n_bins` + 1 numbers per model.
     """
     rows = scores.filter(F.col("predicted_pd").isNotNull())
-    distinct_based = lambda distinct: F.transform(
-        F.sequence(F.lit(0), F.least(distinct, F.lit(n_bins)).cast("int")),
-        lambda i: i / F.least(distinct, F.lit(n_bins)),
-    )
+
+    def cut_fractions(distinct: Column) -> list[Column]:
+        bins = F.least(distinct, F.lit(n_bins))
+        return [F.when(bins >= i, F.lit(i) / bins) for i in range(n_bins + 1)]
+
     edges = (
-        quantiles(rows.select("model", "predicted_pd"), ["model"], "predicted_pd", distinct_based)
+        quantiles(rows.select("model", "predicted_pd"), ["model"], "predicted_pd", cut_fractions)
         .groupBy("model")
         .agg(F.collect_set("quantile").alias("_edges"))
     )
-    score = F.col("predicted_pd")
-    below = F.size(F.filter("_edges", lambda edge: edge < score))
+    below = count_below(F.col("predicted_pd"), "_edges", n_bins + 1)
     return (
         rows.join(F.broadcast(edges), "model")
         .groupBy("model", F.greatest(F.lit(1), below).cast("bigint").alias("pd_decile"))

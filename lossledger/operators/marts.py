@@ -90,13 +90,6 @@ STAGING_SAMPLE_COLUMNS = [
 ]
 
 
-def facility_base(facilities: DataFrame, companies: DataFrame) -> DataFrame:
-    """Facilities with their borrower's attributes; origination is the observation date."""
-    return facilities.withColumnRenamed("origination_date", "observation_date").join(
-        companies, "company_id", "left"
-    )
-
-
 def statement_history(statements: DataFrame) -> History:
     return History(statements, on="report_date", prefer=STATEMENT_FIELDS)
 
@@ -128,16 +121,19 @@ def raw_realized_ccf() -> Column:
 
 def ratio_mart(raw: Mapping[str, DataFrame]) -> DataFrame:
     """One wide row per facility, as known at its observation date plus its later performance."""
-    base = facility_base(raw["loan_facilities"], raw["companies"])
+    facilities = raw["loan_facilities"].withColumnRenamed("origination_date", "observation_date")
+    observed = facilities.select("facility_id", "company_id", "observation_date")
+    # Only keys and dates travel to the borrower's histories and attributes; the terms join by facility.
     dated = asof_join(
-        base,
+        observed,
         [statement_history(raw["financial_statements"]), origination_rating_history(raw["rating_history"])],
         by="company_id",
         left_on="observation_date",
+        attributes=raw["companies"],
     )
-    observed = raw["loan_facilities"].select("facility_id", F.col("origination_date").alias("observation_date"))
     joined = (
-        dated.join(collateral_rollup(raw["collateral"]), "facility_id", "left")
+        facilities.join(dated.drop("company_id", "observation_date"), "facility_id", "left")
+        .join(collateral_rollup(raw["collateral"]), "facility_id", "left")
         .join(payment_rollup(observed, raw["payments"]), "facility_id", "left")
         .join(raw["defaults"], "facility_id", "left")
         .join(recovery_rollup(raw["recoveries"]), "facility_id", "left")

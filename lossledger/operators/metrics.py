@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossledger.functions.numeric import number
-from lossledger.operators.ordering import running_totals
+from lossledger.operators.ordering import ordered_ranges, running_totals
 
 RANK_METRICS = ["roc_auc", "gini", "ks", "average_precision"]
 
@@ -28,7 +28,8 @@ def binary_metrics(df: DataFrame, score: str, target: str, by: Sequence[str] = (
         .agg(F.sum(F.col(target).cast("bigint")).alias("pos"), F.count(F.lit(1)).alias("n"))
         .withColumn("neg", F.col("n") - F.col("pos"))
     )
-    ranked = running_totals(counted, keys, [F.desc("_score")], ["pos", "neg"])
+    order = [F.desc("_score")]
+    ranked = running_totals(ordered_ranges(counted, keys, order), keys, order, ["pos", "neg"])
 
     s, pos, neg, n = (F.col(c) for c in ("_score", "pos", "neg", "n"))
     positives = F.nullif(F.col("all_pos"), F.lit(0))

@@ -9,6 +9,7 @@ aggregate equal keys first or append a unique tie key.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,15 +41,19 @@ def global_rank(df: DataFrame, order: Sequence[str], name: str = "rank") -> tupl
     return ranges.withColumn(name, (shift + within + 1).cast("bigint")).drop("_slot"), sum(counts)
 
 
-def running_totals(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], sums: Sequence[str]) -> DataFrame:
+def ordered_ranges(df: DataFrame, group: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """`df` stored in ranges of (group, order), numbered by `_range`. Together they must identify a row."""
+    return materialize(
+        df.repartitionByRange(*[F.col(g) for g in group], *order).withColumn("_range", F.spark_partition_id())
+    )
+
+
+def running_totals(ranges: DataFrame, group: Sequence[str], order: Sequence[Column | str], sums: Sequence[str]) -> DataFrame:
     """Add `cum_<x>` (inclusive running total in `order`) and `all_<x>` (group total) for each of `sums`.
 
-    The group columns and the order must identify a row.
+    `ranges` comes from `ordered_ranges` with the same group and order.
     """
     group = list(group)
-    ranges = materialize(
-        df.repartitionByRange(*[F.col(g) for g in group], *order).withColumn("_range", F.spark_partition_id())
-    )
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
     # One row per group and range it touches: at most groups + ranges rows.
@@ -74,49 +79,57 @@ def quantiles(
     df: DataFrame,
     group: Sequence[str],
     value: str,
-    fractions: Sequence[float] | Callable[[Column], Column],
+    fractions: Sequence[float] | Callable[[Column], Sequence[Column]],
 ) -> DataFrame:
     """Exact linearly interpolated quantiles of `value` per group: columns group, fraction, quantile.
 
-    `fractions` is a list, or a function from the group's number of distinct values to an array
-    column. Equal values are counted before anything is ordered. Missing values are left out.
+    `fractions` is a list of numbers, or a function from the group's number of distinct values to
+    a list of columns (NULL where a group has fewer). Equal values are counted before anything is
+    ordered. Missing values are left out.
     """
     group = list(group)
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*group, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("one", F.lit(1))
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
+    ranges = ordered_ranges(counted, group, [value])
+    sizes = ranges.groupBy(*group).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"))
+    wanted = fractions(F.col("distinct")) if callable(fractions) else [F.lit(float(q)) for q in fractions]
+    # Two zero-based ranks per group and fraction: a table of groups x fractions rows.
+    targets = (
+        sizes.withColumn("fraction", F.explode(F.array(*wanted)))
+        .filter(F.col("fraction").isNotNull())
+        .withColumn("_at", F.col("fraction") * (F.col("rows") - 1))
+        .select(
+            *group,
+            "fraction",
+            (F.col("_at") - F.floor("_at")).alias("_share"),
+            F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))).alias("_rank"),
+        )
+    )
+    ranked = running_totals(ranges, group, [value], ["n"])
+    holds = (F.col("_rank") >= F.col("cum_n") - F.col("n")) & (F.col("_rank") < F.col("cum_n"))
+    hits = ranked.withColumnsRenamed({g: f"_g_{g}" for g in group}).join(
+        F.broadcast(targets), reduce(Column.__and__, [F.col(g) == F.col(f"_g_{g}") for g in group], holds)
     )
-    ranked = running_totals(counted, group, [value], ["n", "one"])
-    wanted = fractions(F.col("all_one")) if callable(fractions) else F.lit([float(q) for q in fractions])
-    # Zero-based ranks of this value: [cum_n - n, cum_n).
-    position = F.col("fraction") * (F.col("all_n") - 1)
-
-    def holds(rank: Column) -> Column:
-        return (rank >= F.col("cum_n") - F.col("n")) & (rank < F.col("cum_n"))
-
-    def candidate(q: Column) -> Column:
-        at = q * (F.col("all_n") - 1)
-        return holds(F.floor(at)) | holds(F.ceil(at))
-
-    hits = ranked.withColumn("fraction", F.explode(F.filter(wanted, candidate)))
     ends = hits.groupBy(*group, "fraction").agg(
-        F.max(position).alias("_at"),
-        F.max(F.when(holds(F.floor(position)), F.col(value))).alias("_low"),
-        F.max(F.when(holds(F.ceil(position)), F.col(value))).alias("_high"),
+        F.max("_share").alias("_share"), F.min(value).alias("_low"), F.max(value).alias("_high")
     )
     return ends.select(
         *group,
         "fraction",
-        (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_at") - F.floor("_at"))).alias("quantile"),
+        (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias("quantile"),
     )
 
 
+def count_below(value: Column, edges: str, size: int) -> Column:
+    """How many of the first `size` entries of the array column `edges` lie below `value`."""
+    return reduce(Column.__add__, [F.when(F.get(edges, F.lit(i)) < value, 1).otherwise(0) for i in range(size)])
+
+
 def unpivot_numeric(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Long form of numeric columns: ids, feature, value (double)."""
-    wide = df.select(*ids, *[F.col(c).cast("double").alias(c) for c in columns])
-    return wide.unpivot(list(ids), list(columns), "feature", "value")
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    long = df.select(*ids, F.posexplode(values).alias("_position", "value"))
+    name = F.element_at(F.lit(list(columns)), F.col("_position") + 1)
+    return long.select(*ids, name.alias("feature"), "value")
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict[str, dict[float, float]]:

@@ -58,15 +58,18 @@ def split_points(
             seen += r["n"]
         placed.append(place)
 
-    straddled = {p[0]: set() for p in placed if p and p[1]}
-    for p in placed:
-        if p and p[1]:
-            straddled[p[0]].add(p[1] + 1)
+    # One ranking serves both dates: ranks of the later date follow the rows of the earlier one.
+    sizes = {r[date_col]: r["n"] for r in counts}
+    straddled = sorted({p[0] for p in placed if p and p[1]})
+    wanted = {
+        sum(sizes[d] for d in straddled if d < p[0]) + p[1] + 1: p for p in placed if p and p[1]
+    }
     first_key = {}
-    for date, ranks in straddled.items():
-        ranked, _ = global_rank(df.filter(F.col(date_col) == F.lit(date)).select(tie), [tie])
-        for r in ranked.filter(F.col("rank").isin(*ranks)).collect():
-            first_key[(date, r["rank"] - 1)] = r[tie]
+    if wanted:
+        rows_of_dates = df.filter(F.col(date_col).isin(straddled)).select(date_col, tie)
+        ranked, _ = global_rank(rows_of_dates, [date_col, tie])
+        for r in ranked.filter(F.col("rank").isin(list(wanted))).collect():
+            first_key[wanted[r["rank"]]] = r[tie]
 
     def before(place) -> Column:
         if place is None:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.operators.ordering import quantiles, unpivot_numeric
+from lossledger.operators.ordering import count_below, quantiles, unpivot_numeric
 
 EPSILON = 1e-6
 INFINITY = float("inf")
@@ -37,11 +37,11 @@ def psi_details(expected: DataFrame, actual: DataFrame, features: Sequence[str],
         unpivot_numeric(actual, [], present).withColumn("_expected", F.lit(0))
     )
     value = F.col("value")
-    bin_number = F.when(value.isNotNull(), 1 + F.size(F.filter("_inner", lambda cut: cut < value))).otherwise(0)
+    bin_number = F.when(value.isNotNull(), 1 + count_below(value, "_inner", bins - 1)).otherwise(0)
     # Cut points: one row per feature.
     counts = (
         sides.join(F.broadcast(cuts), "feature", "left")
-        .groupBy("feature", F.coalesce(bin_number, F.lit(1)).alias("bin"))
+        .groupBy("feature", bin_number.alias("bin"))
         .agg(
             F.sum("_expected").alias("expected_count"),
             F.sum(1 - F.col("_expected")).alias("actual_count"),

@@ -22,6 +22,8 @@ def build_session(app_name: str = "lossledger", master: str | None = None, **set
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Hash instead of sort where every shuffled build partition is this small at run time.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         # Call-site capture costs several JVM calls per column operator.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
