@@ -85,12 +85,13 @@ def calibrate_margins(
         scores = scores.unionByName(part)
     scores = materialize(scores)
 
-    report = metrics.binary_metrics(scores, "predicted_pd", target, by=["model"]).withColumn(
-        "error", F.lit(None).cast("string")
-    )
+    report = metrics.binary_metrics(scores, "predicted_pd", target, by=["model"])
     if failed:
-        base = report.filter(F.col("model") == "raw").select("rows", "observed_default_rate")
-        missing = spark.createDataFrame(failed, "model string, error string").join(F.broadcast(base), F.lit(True))
+        report = report.withColumn("error", F.lit(None).cast("string"))
+        facts = oot.agg(F.count(F.lit(1)).alias("rows"), F.avg("label").alias("rate")).first()
+        missing = spark.createDataFrame(failed, "model string, error string").select(
+            "*", F.lit(facts["rows"]).alias("rows"), F.lit(facts["rate"]).alias("observed_default_rate")
+        )
         report = report.unionByName(missing, allowMissingColumns=True)
     method = F.col("model")
     named = report.withColumns(
@@ -113,7 +114,7 @@ def calibrate_pd(sample: DataFrame, methods: Sequence[str] = METHODS, max_rows:
     train = splitting.split_part(rows, "train")
     preprocessor = fit_preprocessor(train, prepared.numeric, prepared.categorical)
     vectors = preprocessor.transform(train).select("label", SCALED).persist()
-    estimator = estimators(PD_SPEC, vectors.count(), 1.0, boosting=False)["logistic_regression"]
+    estimator = estimators(PD_SPEC, vectors.count(), 1.0)["logistic_regression"]
     model = estimator.fit(vectors)
     vectors.unpersist()
     margins = model.transform(preprocessor.transform(rows.filter(F.col("split") != "train"))).select(

@@ -53,6 +53,11 @@ def feature_types(df: DataFrame, features: Sequence[str]) -> tuple[list[str], li
     return numeric, [c for c in features if c not in numeric]
 
 
+def numeric_features(df: DataFrame, excluded: Sequence[str]) -> list[str]:
+    """Numeric columns of `df` outside `excluded`."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in set(excluded)]
+
+
 def numeric_like_profile(df: DataFrame, protected: Sequence[str] = ()) -> DataFrame:
     """Per text column: filled values, and those that read as numbers. One aggregate over all columns."""
     columns = [c for c in text_columns(df) if c not in set(protected)]

@@ -114,10 +114,3 @@ def split_summary(split: DataFrame, date_col: str, target_col: str, rate_name: s
 
 def split_part(split: DataFrame, name: str) -> DataFrame:
     return split.filter(F.col("split") == name).drop("split")
-
-
-def numeric_features(df: DataFrame, excluded: Sequence[str]) -> list[str]:
-    """Numeric columns of `df` outside `excluded`."""
-    from pyspark.sql.types import NumericType
-
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in set(excluded)]

@@ -158,7 +158,7 @@ class Frames:
 
 def psi_between_splits(split: DataFrame) -> DataFrame:
     """Train against out-of-time for every numeric feature of a split sample."""
-    numeric = splitting.numeric_features(split, ["facility_id", "company_id", "observation_date", TARGET, "split"])
+    numeric = features.numeric_features(split, ["facility_id", "company_id", "observation_date", TARGET, "split"])
     train, oot = splitting.split_part(split, "train"), splitting.split_part(split, "oot")
     return stability.psi_details(train, oot, numeric)
 

@@ -34,12 +34,22 @@ def build_session(app_name: str = "lossledger", master: str | None = None, **set
     return builder.getOrCreate()
 
 
+def configured_dir(spark: SparkSession) -> str | None:
+    """The checkpoint folder the cluster names, if any."""
+    context = spark.sparkContext
+    return (
+        spark.conf.get(CHECKPOINT_SETTING, None)
+        or context.getConf().get(CHECKPOINT_SETTING)
+        or context.getCheckpointDir()
+    )
+
+
 def work_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's checkpoint folder.
 
     Only a local session without that setting gets a folder of its own.
     """
-    configured = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    configured = configured_dir(spark)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
