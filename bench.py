@@ -18,11 +18,10 @@ from lossledger.plans.catalog import QUERIES
 from lossledger.session import build_session
 
 HEADLINE = [
-    "asof_statement", "payment_rollup", "latest_payment", "ratio_mart", "pd_sample", "lgd_sample",
-    "staging_sample", "stage_distribution", "migration_matrix", "ecl_facility", "ecl_by_stage", "ecl_cube",
-    "stress_summary", "stress_by_industry", "data_quality", "winsorized_ratios", "pd_time_split",
-    "binary_metrics", "pd_calibration_bins", "quantile_calibration_bins", "pd_backtest", "psi_summary",
-    "lgd_by_segment", "traffic_lights",
+    "asof_statement", "payment_rollup", "latest_payment", "ratio_mart", "lgd_sample", "staging_sample",
+    "migration_matrix", "ecl_facility", "ecl_by_stage", "ecl_cube", "stress_summary", "data_quality",
+    "winsorized_ratios", "pd_time_split", "binary_metrics", "pd_calibration_bins", "quantile_calibration_bins",
+    "pd_backtest", "psi_summary", "lgd_by_segment",
 ]
 
 
