@@ -35,25 +35,26 @@ def unescape_role(role: Column) -> Column:
     return F.array_join(F.transform(halves, lambda h: F.replace(h, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
-def merge_turns(turns: Column) -> Column:
-    """array<turn> in order -> array<struct<role, texts>>: runs of one role become one message.
+def merge_turns(df: DataFrame) -> DataFrame:
+    """conv_id, turns (in order) -> conv_id, messages: array<struct<role, texts>>, a message per run of one role.
 
-    Positions where a run begins are found first, and each run is a slice, so the work stays linear.
+    The positions where runs begin are a column of their own and each run is a slice, so the work stays linear.
     """
-    n = F.size(turns)
-    role_at = lambda i: F.get(turns, i)["role"]
-    starts = F.filter(
+    n = F.size("turns")
+    role_at = lambda i: F.get("turns", i)["role"]
+    begins = F.filter(
         F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (role_at(i) != role_at(F.greatest(i - 1, F.lit(0))))
     )
-    return F.transform(
-        starts,
+    messages = F.transform(
+        "begins",
         lambda s, k: F.struct(
             role_at(s).alias("role"),
             F.transform(
-                F.slice(turns, s + 1, F.coalesce(F.get(starts, k + 1), n) - s), lambda t: t["text"]
+                F.slice("turns", s + 1, F.coalesce(F.get("begins", k + 1), n) - s), lambda t: t["text"]
             ).alias("texts"),
         ),
     )
+    return df.withColumn("begins", begins).select("conv_id", messages.alias("messages"))
 
 
 def message_parts(message: Column) -> Column:
@@ -88,8 +89,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
     )
     gathered = conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    messages = gathered.select("conv_id", merge_turns(F.col("turns")).alias("messages"))
-    segments = messages.select("conv_id", F.flatten(F.transform("messages", message_parts)).alias("segments"))
+    segments = merge_turns(gathered).select("conv_id", F.flatten(F.transform("messages", message_parts)).alias("segments"))
     return segments.select(
         "conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments"
     )

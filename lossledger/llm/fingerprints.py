@@ -13,53 +13,38 @@ from pyspark.sql import functions as F
 
 from lossledger.llm.common import range_edges, range_of, shuffle_partitions
 
-K, WINDOW = 5, 8
-
-
-def word_hashes(text: Column) -> Column:
-    words = F.filter(F.split(text, r"[ \t-\r]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
-
-
-def gram_hashes(hashes: Column, k: int = K) -> Column:
-    n = F.size(hashes)
-    rolling = F.transform(
-        F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(k)])
-    )
-    return F.when(n >= k, rolling).when(n > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<bigint>"))
-
-
-def chosen(grams: Column, window: int = WINDOW) -> Column:
-    """array<struct<hash, back>>: the minimum of each window, `back` = -position so that ties go right.
-
-    The position of the minimum never moves left from one window to the next, so dropping entries that equal
-    their predecessor leaves each position once.
-    """
-    placed = F.transform(grams, lambda h, i: F.struct(h.alias("hash"), (-i).alias("back")))
-    n = F.size(grams)
-    minima = F.transform(
-        F.sequence(F.lit(1), F.greatest(n - (window - 1), F.lit(1))),
-        lambda s: F.array_min(F.slice(placed, s, window)),
-    )
-    new = F.filter(minima, lambda m, i: (i == 0) | (m["back"] != F.get(minima, F.greatest(i - 1, F.lit(0)))["back"]))
-    return F.when(n > 0, new).otherwise(F.array().cast("array<struct<hash:bigint,back:int>>"))
+K, WINDOW = 3, 5
 
 
 def with_marks(df: DataFrame, text: str, output: str, k: int = K, window: int = WINDOW) -> DataFrame:
     """Add `output`: array<struct<hash, position>>, the winnowed marks of column `text` (null: empty).
 
-    Each step is a column of its own, so that arrays are built once and not once per use.
+    Each array that a lambda looks into is a column of its own: as part of the lambda it would be built again for
+    every element.
     """
     step = f"{output}__step"
-    return (
-        df.withColumn(step, word_hashes(F.coalesce(F.col(text), F.lit(""))))
-        .withColumn(step, gram_hashes(F.col(step), k))
-        .withColumn(step, chosen(F.col(step), window))
-        .withColumn(
-            output, F.transform(step, lambda m: F.struct(m["hash"].alias("hash"), (-m["back"]).alias("position")))
-        )
-        .drop(step)
+    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[ \t-\r]+"), lambda w: w != "")
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+
+    h, n = F.col(step), F.size(step)
+    rolling = F.transform(
+        F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(k)])
     )
+    none = F.array().cast("array<bigint>")
+    grams = F.when(n >= k, rolling).when(n > 0, F.array(F.xxhash64(h))).otherwise(none)
+
+    # `back` is minus the position: of equal hashes the smallest struct is the rightmost.
+    placed = F.transform(step, lambda x, i: F.struct(x.alias("hash"), (-i).alias("back")))
+    starts = F.sequence(F.lit(1), F.greatest(n - (window - 1), F.lit(1)))
+    minima = F.when(n > 0, F.transform(starts, lambda s: F.array_min(F.slice(h, s, window)))).otherwise(h)
+
+    # The minimum never moves left from one window to the next, so its repeats are neighbours.
+    before = lambda i: F.get(h, F.greatest(i - 1, F.lit(0)))["back"]
+    new = F.filter(step, lambda m, i: (i == 0) | (m["back"] != before(i)))
+    marks = F.transform(new, lambda m: F.struct(m["hash"].alias("hash"), (-m["back"]).alias("position")))
+    for column in (hashes, grams, placed, minima):
+        df = df.withColumn(step, column)
+    return df.withColumn(output, marks).drop(step)
 
 
 def digest(marks: Column) -> Column:

@@ -32,10 +32,10 @@ FROM d WINDOW g AS (PARTITION BY text)
 # Earliest deadline first, slot by slot, over one period of 1000; state: the next block of each source.
 OP10 = """
 WITH RECURSIVE weights AS (
-  SELECT 'src0' AS mix_source, 230 AS parts, 1 AS at
+  SELECT 'src0' AS mix_source, 230 AS parts, 1 AS place
   UNION ALL SELECT 'src' || i, 40, i + 1 FROM range(1, 20) t(i)
   UNION ALL SELECT '*', 10, 21
-), w AS (SELECT list(parts ORDER BY at) AS parts FROM weights),
+), w AS (SELECT list(parts ORDER BY place) AS parts FROM weights),
 slots AS (
   SELECT -1 AS slot, list_transform(parts, p -> 0) AS next, 0 AS chosen FROM w
   UNION ALL
@@ -50,7 +50,7 @@ slots AS (
   )
 ), schedule AS (
   SELECT mix_source, parts, slot, row_number() OVER (PARTITION BY mix_source ORDER BY slot) - 1 AS in_period
-  FROM slots JOIN weights ON at = chosen WHERE slot >= 0
+  FROM slots JOIN weights ON place = chosen WHERE slot >= 0
 ), d AS (
   SELECT doc_id, coalesce(length(text), 0) AS chars, text,
     CASE WHEN source IN (SELECT mix_source FROM weights) AND source <> '*' THEN source ELSE '*' END AS mix_source
@@ -65,7 +65,4 @@ SELECT doc_id, mix_source, start // 65536 AS mix_block, (start // 65536) * 1000
 FROM laid JOIN schedule USING (mix_source) WHERE in_period = (start // 65536) % parts
 """
 
-# Word boundaries are marked with line feeds, so that a phrase is a substring between them.
-OP7_BASE = ""
-
 ORACLES = {"op3_chat_formatting": OP3, "op9_exact_dedup": OP9, "op10_mixing": OP10}
