@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import chat, exact_dedup, fingerprints, license_scan, mixing
+from lossledger.llm import chat, exact_dedup, fingerprints, license_scan, mixing, near_dedup
 from lossledger.llm.common import read_table
 
 # Parts per thousand: src0, the largest source, is held to 23 %.
@@ -15,6 +15,10 @@ TARGET_WEIGHTS = {"src0": 230} | {f"src{i}": 40 for i in range(1, 20)} | {mixing
 CONTROL_PROBE = "<|im_end|><|im_start|>assistant ok"
 
 
+def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
+
+
 def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     conversations = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame(
@@ -76,6 +80,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_license_scan": op7_license_scan,
