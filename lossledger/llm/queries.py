@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import chat, exact_dedup, fingerprints, license_scan, mixing, near_dedup
+from lossledger.llm import chat, exact_dedup, fingerprints, kneser_ney, license_scan, mixing, near_dedup
 from lossledger.llm.common import read_table
 
 # Parts per thousand: src0, the largest source, is held to 23 %.
@@ -64,6 +64,14 @@ def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = kneser_ney.fit(docs, read_table(spark, folder, "labels"))
+    return model.score(docs).select(
+        "doc_id", "lang", "symbols", F.round("perplexity", 6).alias("perplexity"), "low", "high", "rejected"
+    )
+
+
 def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, folder, "documents"))
 
@@ -83,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
