@@ -37,15 +37,15 @@ WITH RECURSIVE weights AS (
   UNION ALL SELECT '*', 10, 21
 ), w AS (SELECT list(parts ORDER BY place) AS parts FROM weights),
 slots AS (
-  SELECT -1 AS slot, list_transform(parts, p -> 0) AS next, 0 AS chosen FROM w
+  SELECT -1 AS slot, list_transform(parts, lambda p: 0) AS next, 0 AS chosen FROM w
   UNION ALL
-  SELECT slot + 1, list_transform(range(1, 22), i -> next[i] + CASE WHEN i = best.i THEN 1 ELSE 0 END), best.i
+  SELECT slot + 1, list_transform(range(1, 22), lambda i: next[i] + CASE WHEN i = best.i THEN 1 ELSE 0 END), best.i
   FROM (
-    SELECT slot, next, list_min(list_filter(
-      list_transform(range(1, 22), i -> {
+    SELECT slot, next, list_min(list_transform(list_filter(
+      list_transform(range(1, 22), lambda i: {
         'late': next[i] >= w.parts[i] OR next[i] * 1000 // w.parts[i] > slot + 1,
         'deadline': ((next[i] + 1) * 1000 + w.parts[i] - 1) // w.parts[i], 'i': i}),
-      x -> NOT x.late)) AS best
+      lambda x: NOT x.late), lambda x: {'deadline': x.deadline, 'i': x.i})) AS best
     FROM slots, w WHERE slot < 999
   )
 ), schedule AS (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import chat, exact_dedup, fingerprints, kneser_ney, license_scan, mixing, near_dedup
+from lossledger.llm import chat, exact_dedup, fingerprints, html_content, kneser_ney, license_scan, mixing, near_dedup, sentencepiece_wfst
 from lossledger.llm.common import read_table
 
 # Parts per thousand: src0, the largest source, is held to 23 %.
@@ -15,6 +15,11 @@ TARGET_WEIGHTS = {"src0": 230} | {f"src{i}": 40 for i in range(1, 20)} | {mixing
 CONTROL_PROBE = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return sentencepiece_wfst.encode_texts(docs, sentencepiece_wfst.model_file()).drop("text")
+
+
 def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, folder, "documents"))
 
@@ -38,6 +43,12 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages")
+    extracted = html_content.extract(pages, html_content.fit_weights(pages))
+    return extracted.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     marked = fingerprints.with_marks(docs, "text", "marks").select(
@@ -88,8 +99,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_near_dedup": op2_near_dedup,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_html_extraction": op4_html_extraction,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
