@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import chat, exact_dedup, fingerprints, html_content, kneser_ney, license_scan, mixing, near_dedup, sentencepiece_wfst
+from lossledger.llm import chat, exact_dedup, fingerprints, html_content, kneser_ney, license_scan, mixing, near_dedup, secret_scan, sentencepiece_wfst
 from lossledger.llm.common import read_table
 
 # Parts per thousand: src0, the largest source, is held to 23 %.
@@ -87,6 +87,11 @@ def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, folder, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan_secrets(read_table(spark, folder, "documents"))
+    return found.withColumn("probability", F.round("probability", 6))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, folder, "documents")).drop("row")
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_license_scan": op7_license_scan,
+    "op8_secret_scan": op8_secret_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
 }
