@@ -69,8 +69,6 @@ def with_next(df: DataFrame, columns: list[str], prefix: str = "next_") -> DataF
     Rows with equal ids follow each other by `columns`; a null id comes last.
     """
     top = df.agg(F.max("doc_id")).first()[0]
-    if top is None:
-        top = 0
     edges = [e for e in range_edges(df, "doc_id", shuffle_partitions(df.sparkSession)) if e != top]
     part = range_of(F.col("doc_id"), edges)
     at_edge = F.col("doc_id").isin(edges) if edges else F.lit(False)
@@ -80,15 +78,15 @@ def with_next(df: DataFrame, columns: list[str], prefix: str = "next_") -> DataF
         # After the lowest range come the rows that begin the whole order.
         F.when(F.col("doc_id").eqNullSafe(F.lit(top)), F.struct(F.lit(0).alias("part"), F.lit(2).alias("guest"))),
     )
-    dealt = df.withColumn("__seat", F.explode(F.filter(seats, lambda s: s.isNotNull()))).select(
-        "*", F.col("__seat.part").alias("__part"), F.col("__seat.guest").alias("__guest")
+    # The row as one struct: columns of `df` may have any name.
+    dealt = df.select(F.struct(*df.columns).alias("row"), F.explode(F.filter(seats, lambda s: s.isNotNull())).alias("seat"))
+    order = Window.partitionBy("seat.part").orderBy(
+        "seat.guest", F.col("row.doc_id").desc_nulls_last(), *[F.col(f"row.{c}") for c in columns]
     )
-    order = Window.partitionBy("__part").orderBy(
-        "__guest", F.col("doc_id").desc_nulls_last(), *columns
-    )
-    # A null id belongs after the rows of range 0 and before its guests: it is there by order.
-    led = dealt.select("*", *[F.lead(c).over(order).alias(prefix + c) for c in columns])
-    return led.filter(F.col("__guest") == 0).drop("__seat", "__part", "__guest")
+    led = dealt.select("row", "seat", *[F.lead(f"row.{c}").over(order).alias(prefix + c) for c in columns])
+    added = [prefix + c for c in columns]
+    kept = [F.col(f"row.{c}") for c in df.columns if c not in added]
+    return led.filter("seat.guest = 0").select(*kept, *added)
 
 
 def edited_text(text: Column, n_chars: Column, next_text: Column) -> Column:

@@ -63,40 +63,42 @@ def scheduled(docs: DataFrame, weights: dict[str, int], block_chars: int = BLOCK
     named = [s for s in weights if s != REST]
     other = F.lit(REST) if REST in weights else F.raise_error("a source without a weight")
     source = F.when(F.col("source").isin(named), F.col("source")).otherwise(other)
-    sized = docs.withColumns({
-        "mix_source": source,
-        "__chars": F.coalesce(F.char_length("text"), F.lit(0)).cast("bigint"),
-        "__part": range_of(F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)), range_edges(docs, "doc_id", parts)),
-    })
-    by_part = sized.groupBy("mix_source", "__part").agg(F.sum("__chars").alias("__total"))
-    before = Window.partitionBy("mix_source").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    # The row as one struct: columns of `docs` may have any name.
+    sized = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        source.alias("mix_source"),
+        F.coalesce(F.char_length("text"), F.lit(0)).cast("bigint").alias("chars"),
+        range_of(F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)), range_edges(docs, "doc_id", parts)).alias("part"),
+    )
+    by_part = sized.groupBy("mix_source", "part").agg(F.sum("chars").alias("total"))
+    before = Window.partitionBy("mix_source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per source and range: at most len(weights) x partitions rows.
-    offsets = by_part.withColumn("__offset", F.coalesce(F.sum("__total").over(before), F.lit(0))).drop("__total")
+    offsets = by_part.withColumn("offset", F.coalesce(F.sum("total").over(before), F.lit(0))).drop("total")
     inside = (
-        Window.partitionBy("mix_source", "__part").orderBy(F.col("doc_id").asc_nulls_last(), F.col("text"))
+        Window.partitionBy("mix_source", "part").orderBy(F.col("row.doc_id").asc_nulls_last(), F.col("row.text"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = (
-        sized.withColumn("__within", F.coalesce(F.sum("__chars").over(inside), F.lit(0)))
-        .join(F.broadcast(offsets), ["mix_source", "__part"])
-        .withColumn("__start", F.col("__offset") + F.col("__within"))
-        .withColumn("mix_block", F.expr(f"__start div {block_chars}"))
-        .withColumn("mix_at", F.col("__start") % block_chars)
+        sized.withColumn("within", F.coalesce(F.sum("chars").over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), ["mix_source", "part"])
+        .withColumn("start", F.col("offset") + F.col("within"))
+        .withColumn("mix_block", F.expr(f"start div {block_chars}"))
+        .withColumn("mix_at", F.col("start") % block_chars)
     )
     period = sum(weights.values())
     parts_of = _choose(F.col("mix_source"), weights)
     slots = _slot_table(spark, weights)
     j = F.col("mix_block")
     with_slot = (
-        placed.withColumn("__parts", parts_of)
-        .withColumn("__in_period", (j % F.col("__parts")).cast("int"))
-        .join(F.broadcast(slots), ["mix_source", "__in_period"])
-        .withColumn("mix_slot", F.expr("mix_block div __parts") * period + F.col("__slot"))
-        .withColumn("mix_release", F.expr(f"(mix_block * {period}) div __parts"))
-        .withColumn("mix_deadline", -F.floor(-((j + 1) * period) / F.col("__parts")).cast("bigint"))
+        placed.withColumn("parts", parts_of)
+        .withColumn("in_period", (j % F.col("parts")).cast("int"))
+        .join(F.broadcast(slots), ["mix_source", "in_period"])
+        .withColumn("mix_slot", F.expr("mix_block div parts") * period + F.col("slot"))
+        .withColumn("mix_release", F.expr(f"(mix_block * {period}) div parts"))
+        .withColumn("mix_deadline", -F.floor(-((j + 1) * period) / F.col("parts")).cast("bigint"))
     )
     added = ["mix_source", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_at"]
-    return with_slot.select(*docs.columns, *added)
+    return with_slot.select(*[F.col(f"row.{c}") for c in docs.columns if c not in added], *added)
 
 
 def _choose(source: Column, weights: dict[str, int]) -> Column:
@@ -105,7 +107,7 @@ def _choose(source: Column, weights: dict[str, int]) -> Column:
 
 def _slot_table(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
     """sum(weights) rows, the period of the schedule."""
-    schema = "mix_source string, __in_period int, __slot bigint"
+    schema = "mix_source string, in_period int, slot bigint"
     return spark.createDataFrame(period_schedule(weights), schema)
 
 
@@ -114,4 +116,6 @@ def mixed(docs: DataFrame, weights: dict[str, int], block_chars: int = BLOCK_CHA
     order = ["mix_slot", "mix_source", "mix_block", "mix_at", "doc_id"]
     parts = shuffle_partitions(docs.sparkSession)
     laid = scheduled(docs, weights, block_chars)
+    if clash := [c for c in docs.columns if c.startswith("mix_")]:
+        raise ValueError(f"columns of the schedule's own: {clash}")
     return laid.repartitionByRange(parts, "mix_slot", "mix_at").sortWithinPartitions(*order).select(*docs.columns)
