@@ -39,6 +39,7 @@ def main() -> None:
     for name in names:
         runs = []
         for _ in range(repeats):
+            spark.catalog.clearCache()  # nothing kept from the run before
             started = time.perf_counter()
             QUERIES[name].run(spark, folder).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - started)

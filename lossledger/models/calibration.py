@@ -107,11 +107,11 @@ def calibrate_margins(
     return CalibrationResult(named.select(*head, *[c for c in report.columns if c not in head]), scores)
 
 
-def calibrate_pd(sample: DataFrame, methods: Sequence[str] = METHODS, max_rows: int | None = None) -> CalibrationResult:
+def calibrate_pd(sample: DataFrame, methods: Sequence[str] = METHODS, max_fit_rows: int | None = None) -> CalibrationResult:
     """Fit the logistic model on train, calibrate it on valid, compare out of time."""
-    prepared, _, _ = prepare(sample, PD_SPEC, max_rows)
-    rows = with_label(typed_features(prepared.split, prepared.numeric, prepared.categorical), PD_SPEC)
-    train = splitting.split_part(rows, "train")
+    prepared, _, _ = prepare(sample, PD_SPEC)
+    typed = lambda df: with_label(typed_features(df, prepared.numeric, prepared.categorical), PD_SPEC)
+    rows, train = typed(prepared.split), typed(prepared.train(PD_SPEC, max_fit_rows))
     preprocessor = fit_preprocessor(train, prepared.numeric, prepared.categorical)
     vectors = preprocessor.transform(train).select("label", SCALED).persist()
     estimator = estimators(PD_SPEC, vectors.count(), 1.0)["logistic_regression"]

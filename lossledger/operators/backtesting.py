@@ -232,7 +232,7 @@ def calibration_by_score_bin(scores: DataFrame, target: str = "target_default_12
     )
     below = count_below(F.col("predicted_pd"), "_edges", n_bins + 1)
     return (
-        rows.join(F.broadcast(edges), "model")
+        rows.join(edges, "model")
         .groupBy("model", F.greatest(F.lit(1), below).cast("bigint").alias("pd_decile"))
         .agg(*_pd_measures("predicted_pd", target, "observed_defaults"))
         .withColumn("calibration_error", _calibration_error())

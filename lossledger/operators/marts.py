@@ -150,6 +150,20 @@ def ratio_mart(raw: Mapping[str, DataFrame]) -> DataFrame:
     ).select(*RATIO_MART_COLUMNS)
 
 
+def pd_outcomes(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Origination PD and twelve-month target per facility, from ratings and defaults alone."""
+    observed = raw["loan_facilities"].select("facility_id", "company_id", F.col("origination_date").alias("observation_date"))
+    rated = asof_join(
+        observed, [origination_rating_history(raw["rating_history"])], by="company_id", left_on="observation_date"
+    )
+    defaults = raw["defaults"].select("facility_id", "default_date")
+    return rated.join(defaults, "facility_id", "left").select(
+        "facility_id", "observation_date",
+        target_12m(F.col("observation_date"), F.col("default_date")).alias("target_default_12m"),
+        "origination_pd_estimate",
+    )
+
+
 def pd_sample(mart: DataFrame) -> DataFrame:
     return mart.filter(F.col("target_default_12m").isNotNull()).select(*PD_SAMPLE_COLUMNS)
 

@@ -69,7 +69,7 @@ def running_totals(ranges: DataFrame, group: Sequence[str], order: Sequence[Colu
     )
     so_far = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranges.withColumns({f"cum_{x}": F.sum(x).over(so_far) for x in sums})
-    joined = local.join(F.broadcast(shifts), [*group, "_range"])
+    joined = local.join(shifts, [*group, "_range"])
     return joined.withColumns({f"cum_{x}": F.col(f"cum_{x}") + F.col(f"_before_{x}") for x in sums}).drop(
         "_range", *[f"_before_{x}" for x in sums]
     )
@@ -88,6 +88,8 @@ def quantiles(
     ordered. Missing values are left out.
     """
     group = list(group)
+    if not group:
+        raise ValueError("quantiles need a group to join by")
     counted = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
     ranges = ordered_ranges(counted, group, [value])
     sizes = ranges.groupBy(*group).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"))
@@ -107,7 +109,7 @@ def quantiles(
     ranked = running_totals(ranges, group, [value], ["n"])
     holds = (F.col("_rank") >= F.col("cum_n") - F.col("n")) & (F.col("_rank") < F.col("cum_n"))
     hits = ranked.withColumnsRenamed({g: f"_g_{g}" for g in group}).join(
-        F.broadcast(targets), reduce(Column.__and__, [F.col(g) == F.col(f"_g_{g}") for g in group], holds)
+        targets, reduce(Column.__and__, [F.col(g) == F.col(f"_g_{g}") for g in group], holds)
     )
     ends = hits.groupBy(*group, "fraction").agg(
         F.max("_share").alias("_share"), F.min(value).alias("_low"), F.max(value).alias("_high")

@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 
 def collateral_rollup(collateral: DataFrame) -> DataFrame:
-    value = F.col("collateral_value")
-    return collateral.groupBy("facility_id").agg(
+    """Per facility; grouped by type first, in fixed-width buffers, so that items are hashed and not sorted."""
+    value, haircut = F.col("collateral_value"), F.col("haircut")
+    by_type = collateral.groupBy("facility_id", "collateral_type").agg(
+        F.sum(value).alias("value"), F.sum(haircut).alias("haircuts"), F.count(haircut).alias("items"),
+        F.sum(value * (1 - haircut)).alias("effective"),
+    )
+    return by_type.groupBy("facility_id").agg(
         F.max("collateral_type").alias("collateral_type"),
-        F.sum(value).alias("collateral_value"),
-        F.avg("haircut").alias("avg_collateral_haircut"),
-        F.sum(value * (1 - F.col("haircut"))).alias("effective_collateral_value"),
+        F.sum("value").alias("collateral_value"),
+        (F.sum("haircuts") / F.nullif(F.sum("items"), F.lit(0))).alias("avg_collateral_haircut"),
+        F.sum("effective").alias("effective_collateral_value"),
     )
 
 

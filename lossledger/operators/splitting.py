@@ -92,7 +92,8 @@ def time_split(
     Reads `df` up to three times, so pass a stored sample. `tie` must be unique: it fixes the
     order of rows of one date.
     """
-    data = df.dropna(subset=[date_col, target_col])
+    # Days, so that the driver gets a count per calendar day and not per instant.
+    data = df.withColumn(date_col, F.col(date_col).cast("date")).dropna(subset=[date_col, target_col])
     in_train, in_train_or_valid = split_points(data, date_col, tie, train_size, valid_size)
     label = F.when(in_train, "train").when(in_train_or_valid, "valid").otherwise("oot")
     return data.withColumn("split", label)

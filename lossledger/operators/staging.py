@@ -98,18 +98,20 @@ def stage_by_rating(staged: DataFrame) -> DataFrame:
     )
 
 
-def rating_migration_matrix(staged: DataFrame, grades: list[str] | None = None, missing: str = "missing") -> DataFrame:
-    """Facilities by origination grade (rows) and current grade (columns).
-
-    Missing grades are counted under `missing`. The columns are the grades present, or `grades`.
-    """
-    counts = staged.groupBy(
+def rating_migrations(staged: DataFrame, missing: str = "missing") -> DataFrame:
+    """Facilities by origination and current grade, a row per pair; missing grades are counted under `missing`."""
+    return staged.groupBy(
         F.coalesce("origination_rating_grade", F.lit(missing)).alias("origination_rating_grade"),
         F.coalesce("current_rating_grade", F.lit(missing)).alias("current_rating_grade"),
     ).agg(F.count(F.lit(1)).alias("facilities"))
+
+
+def rating_migration_matrix(staged: DataFrame, missing: str = "missing") -> DataFrame:
+    """Facilities by origination grade (rows) and current grade (columns, all grades that occur)."""
     return (
-        counts.groupBy("origination_rating_grade")
-        .pivot("current_rating_grade", grades)
+        rating_migrations(staged, missing)
+        .groupBy("origination_rating_grade")
+        .pivot("current_rating_grade")
         .agg(F.sum("facilities"))
         .na.fill(0)
         .orderBy("origination_rating_grade")

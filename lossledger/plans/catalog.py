@@ -82,8 +82,7 @@ class Frames:
 
     @cached_property
     def pd_split(self) -> DataFrame:
-        keys = ["facility_id", "observation_date", TARGET, PD]
-        return splitting.time_split(materialize(self.mart.select(*keys)))
+        return splitting.time_split(materialize(marts.pd_outcomes(self.raw)))
 
     @cached_property
     def pd_oot(self) -> DataFrame:
@@ -202,14 +201,14 @@ def asof_statement(f: Frames) -> DataFrame:
     base = f.raw["loan_facilities"].select("facility_id", "company_id", "origination_date")
     history = marts.statement_history(f.raw["financial_statements"])
     joined = asof.asof_join(base, [history], by="company_id", left_on="origination_date")
-    return joined.filter(F.col("report_date").isNotNull()).drop("company_id", "origination_date")
+    return joined.drop("company_id", "origination_date")
 
 
 def asof_rating(f: Frames) -> DataFrame:
     base = f.raw["loan_facilities"].select("facility_id", "company_id", "origination_date")
     history = marts.origination_rating_history(f.raw["rating_history"])
     joined = asof.asof_join(base, [history], by="company_id", left_on="origination_date")
-    return joined.filter(F.col("rating_date").isNotNull()).drop("company_id", "origination_date")
+    return joined.drop("company_id", "origination_date")
 
 
 def payment_rollup(f: Frames) -> DataFrame:
@@ -378,9 +377,7 @@ QUERIES: dict[str, Query] = {
     "stage_validation_summary": Query(
         lambda f: staging.stage_summary(f.staged), "stage_validation_summary", STAGE_DIGITS
     ),
-    "migration_matrix": Query(
-        lambda f: staging.rating_migration_matrix(f.staged, list("ABCDEF")), "migration_matrix"
-    ),
+    "migration_matrix": Query(lambda f: staging.rating_migrations(f.staged), "migration_matrix"),
     # Expected credit loss.
     "ecl_facility": Query(
         ecl_facility, "ecl_facility",
@@ -501,6 +498,10 @@ QUERIES: dict[str, Query] = {
         lambda f: stability.top_psi_details(f.psi_details, PSI_TOP_N), "psi_details",
         _digits(6, "lower_bound", "upper_bound", "expected_share", "actual_share", "psi_component"),
     ),
+    "psi_all_details": Query(
+        lambda f: stability.top_psi_details(f.psi_details, 0), "psi_all_details",
+        _digits(6, "lower_bound", "upper_bound", "expected_share", "actual_share", "psi_component"),
+    ),
     "alt_scale_mapping": Query(
         lambda f: master_scale.alternative_mapping(f.grade_summary), "alt_scale_mapping",
         _digits(6, "original_observed_default_rate", "original_avg_predicted_pd"),

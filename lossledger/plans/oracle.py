@@ -173,7 +173,7 @@ RAW = {
                CASE WHEN p_type = 'ECONOMY' THEN 0::DOUBLE ELSE l_extendedprice END AS collateral_value,
                (CASE p_type WHEN 'ECONOMY' THEN 1.0 WHEN 'MEDIUM' THEN 0.375 WHEN 'PROMO' THEN 0.5
                     WHEN 'SMALL' THEN 0.4375 WHEN 'LARGE' THEN 0.25 WHEN 'STANDARD' THEN 0.3125 END)::DOUBLE AS haircut
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber <= 2""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "macro_scenarios": """
         SELECT (DATE '1995-01-01' + to_months(i::INTEGER))::DATE AS month, scenario,
                (30 + i % 12 - 20 * step)::DOUBLE / 1000 AS gdp_growth,
@@ -190,20 +190,24 @@ _debt = "coalesce(short_term_debt, 0) + coalesce(long_term_debt, 0)"
 
 MARTS = {
     "asof_statement": """
+        SELECT lf.facility_id, m.* EXCLUDE (facility_id) FROM loan_facilities lf LEFT JOIN (
         SELECT facility_id, fs.* EXCLUDE (company_id) FROM (
             SELECT lf.facility_id, lf.company_id, max(fs.report_date) AS d
             FROM loan_facilities lf JOIN financial_statements fs
               ON fs.company_id = lf.company_id AND fs.report_date <= lf.origination_date
             GROUP BY ALL) x
-        JOIN financial_statements fs ON fs.company_id = x.company_id AND fs.report_date = x.d""",
+        JOIN financial_statements fs ON fs.company_id = x.company_id AND fs.report_date = x.d) m
+          ON m.facility_id = lf.facility_id""",
     "asof_rating": """
+        SELECT lf.facility_id, m.* EXCLUDE (facility_id) FROM loan_facilities lf LEFT JOIN (
         SELECT facility_id, rh.rating_date, rh.rating_grade AS origination_rating_grade,
                rh.pd_estimate AS origination_pd_estimate, rh.watchlist_flag, rh.restructuring_flag
         FROM (SELECT lf.facility_id, lf.company_id, max(rh.rating_date) AS d
               FROM loan_facilities lf JOIN rating_history rh
                 ON rh.company_id = lf.company_id AND rh.rating_date <= lf.origination_date
               GROUP BY ALL) x
-        JOIN rating_history rh ON rh.company_id = x.company_id AND rh.rating_date = x.d""",
+        JOIN rating_history rh ON rh.company_id = x.company_id AND rh.rating_date = x.d) m
+          ON m.facility_id = lf.facility_id""",
     "collateral_rollup": """
         SELECT facility_id, max(collateral_type) AS collateral_type, sum(collateral_value) AS collateral_value,
                avg(haircut) AS avg_collateral_haircut,
@@ -378,9 +382,10 @@ IMPAIRMENT = {
                sum(outstanding_amount) AS total_outstanding, avg(current_pd_estimate) AS avg_current_pd,
                avg(default_flag) AS default_rate
         FROM staged GROUP BY current_rating_grade, ifrs9_stage""",
-    "migration_matrix": "SELECT coalesce(origination_rating_grade, 'missing') AS origination_rating_grade, "
-    + ", ".join(f"count(*) FILTER (current_rating_grade = '{g}') AS \"{g}\"" for g in "ABCDEF")
-    + " FROM staged GROUP BY 1",
+    "migration_matrix": """
+        SELECT coalesce(origination_rating_grade, 'missing') AS origination_rating_grade,
+               coalesce(current_rating_grade, 'missing') AS current_rating_grade, count(*) AS facilities
+        FROM staged GROUP BY 1, 2""",
     "risk_parameters": """
         SELECT *,
                greatest(0.25::DOUBLE, (maturity_date - reporting_date) / 365.25::DOUBLE) AS remaining_life_years,

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-_own_work_dirs: dict[str, str] = {}
-
 
 def build_session(app_name: str = "lossledger", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the jobs rely on; `settings` override (dots as double underscores)."""
@@ -44,30 +39,19 @@ def configured_dir(spark: SparkSession) -> str | None:
     )
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: the cluster's checkpoint folder.
-
-    Only a local session without that setting gets a folder of its own.
-    """
-    configured = configured_dir(spark)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    app_id = spark.sparkContext.applicationId
-    if app_id not in _own_work_dirs:
-        _own_work_dirs[app_id] = tempfile.mkdtemp(prefix="lossledger-")
-        atexit.register(shutil.rmtree, _own_work_dirs[app_id], ignore_errors=True)
-    return _own_work_dirs[app_id]
-
-
 def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` once as a Parquet table in the shared folder and read it back.
+    """`df` computed once, where several jobs read the same rows.
 
-    Used where several jobs read the same rows, or where a value such as a partition
-    number must not change when a lost executor's work is repeated.
+    With a configured shared folder it becomes a Parquet table there, which goes when the application ends.
+    Without one Spark keeps the rows in its own storage; what an executor loses there is computed again. No folder
+    of the machine is ever used.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/lossledger/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    folder = configured_dir(spark)
+    if not folder:
+        return df.persist()
+    path = f"{folder.rstrip('/')}/lossledger/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)

@@ -240,7 +240,6 @@ class Portfolio:
         haircut = _lookup(F.col("p_type"), {k: v[1] for k, v in COLLATERAL_OF_TYPE.items()})
         return (
             self.source("lineitem")
-            .filter(F.col("l_linenumber") <= 2)
             .join(self.source("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.concat_ws("-", F.lit("C"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")

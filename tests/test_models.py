@@ -42,7 +42,7 @@ def test_preprocessor(spark):
 
 @pytest.fixture(scope="module")
 def pd_result(spark):
-    return training.train_pd(pd_rows(spark), max_rows=600)
+    return training.train_pd(pd_rows(spark).orderBy("observation_date", "facility_id").limit(600))
 
 
 def test_pd_training(pd_result, spark, tmp_path):

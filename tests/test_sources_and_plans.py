@@ -92,29 +92,18 @@ def test_bucketed_mart_joins_without_shuffle(spark, tmp_path):
         spark.sql("DROP DATABASE test_marts CASCADE")
 
 
-def test_work_dir_comes_from_the_session(spark, tmp_path, monkeypatch):
+def test_stored_rows_go_to_the_shared_folder(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "configured_dir", lambda _: f"{tmp_path}/shared/")
-    assert session.work_dir(spark) == f"{tmp_path}/shared"
     stored = session.materialize(spark.range(5))
     assert stored.count() == 5 and stored.inputFiles()[0].startswith(f"file://{tmp_path}/shared")
 
 
-def test_no_machine_local_folder_on_a_cluster():
-    class Context:
-        master = "yarn"
-        def getConf(self):
-            return {}
-        def getCheckpointDir(self):
-            return None
-
-    class Session:
-        conf = {}
-        sparkContext = Context()
-
-    with pytest.raises(RuntimeError):
-        session.work_dir(Session())
-    Session.conf = {session.CHECKPOINT_SETTING: "hdfs:///shared"}
-    assert session.work_dir(Session()) == "hdfs:///shared"
+def test_no_folder_without_a_shared_one(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "configured_dir", lambda _: None)
+    monkeypatch.setenv("TMPDIR", str(tmp_path))
+    stored = session.materialize(spark.range(5))
+    assert stored.count() == 5 and stored.is_cached and not list(tmp_path.iterdir())
+    stored.unpersist()
 
 
 FORBIDDEN = ["BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"]
