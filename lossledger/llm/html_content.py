@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lossledger.llm.common import map_arrow
+
 #: At most about so many labelled pages, chosen by a hash of page_id, fit the weights.
 FIT_PAGES = 20_000
 
@@ -233,7 +235,7 @@ def fit_weights(pages: DataFrame, fit_pages: int = FIT_PAGES) -> dict[str, float
             names=["kind", "inside", "count"],
         )
 
-    counted = marked.select("html").mapInArrow(run, "kind string, inside boolean, count bigint")
+    counted = map_arrow(marked.select("html"), run, "kind string, inside boolean, count bigint")
     rows = counted.groupBy("kind", "inside").agg(F.sum("count").alias("count")).collect()
     return weights_from({(r["kind"], r["inside"]): r["count"] for r in rows})
 
@@ -256,4 +258,4 @@ def extract(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
                 )
 
     kinds = {f.name: f.dataType.simpleString() for f in rest.schema.fields}
-    return rest.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
+    return map_arrow(rest, run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")

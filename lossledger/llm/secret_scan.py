@@ -1,7 +1,7 @@
 """Secret scans: candidates by shape, then a random forest that removes false positives.
 
-A candidate is the value part of a word: at least 12 characters of the alphabets of keys with a digit among them, or
-at least 8 after `=` or `:`. Its features are its length, how character classes change along it, how much of it words of
+A candidate is the value part of a word: at least 12 characters of the alphabets of keys with a digit among them or
+a published beginning, or at least 8 after `=` or `:`. Its features are its length, how character classes change along it, how much of it words of
 the corpus cover, the path it came from (how often its source has candidates, where in the document it stands) and
 the words beside it. The forest is trained on labelled findings.
 
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from lossledger.llm.common import stored
 
 _KEY = r"[A-Za-z0-9+/_\-]"
+# How published keys begin.
+_PREFIX = "AKIA|ASIA|gh[pousr]_|xox[abprs]-"
 #: A word: wrapping, perhaps a name with = or :, the value, wrapping. Values end after 400 characters.
-BARE = rf"^[^A-Za-z0-9+/_\-]*((?=[^0-9]*[0-9]){_KEY}{{12,400}})[^A-Za-z0-9+/_\-]*$"
+BARE = rf"^[^A-Za-z0-9+/_\-]*((?=[^0-9]*[0-9]|{_PREFIX}){_KEY}{{12,400}})[^A-Za-z0-9+/_\-]*$"
 ASSIGNED = rf"^\W*([A-Za-z_.\-]{{1,40}})[=:][\"'`]?({_KEY}{{8,400}})[=]{{0,2}}[^A-Za-z0-9+/_\-]*$"
 #: About so many labelled findings of either class, chosen by a hash, fit the forest.
 FIT_FINDINGS = 20_000

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lossledger.llm.common import map_arrow
 from lossledger.llm.shingles import text_pieces
 
 SPACE = "▁"
@@ -208,7 +209,7 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
                 )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)
-    return rest.mapInArrow(run, f"{schema}, {SCHEMA}")
+    return map_arrow(rest, run, f"{schema}, {SCHEMA}")
 
 
 def model_file(name: str = "piece_bpe_32k.model", folder: str = "/opt/tokenizers") -> str:
