@@ -134,9 +134,60 @@ def unpivot_numeric(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -
     return long.select(*ids, name.alias("feature"), "value")
 
 
+BRACKET_ACCURACY = 10_000
+
+
+def quantile_brackets(
+    df: DataFrame, columns: Sequence[str], fractions: Sequence[float]
+) -> dict[str, list[tuple[float, float]]]:
+    """Per column disjoint ascending intervals that hold the order statistics around each fraction.
+
+    One approximate aggregate over all columns; its ranks are off by at most rows / BRACKET_ACCURACY, so an interval
+    of twice that to either side is safe from 2 x BRACKET_ACCURACY values on. Columns with fewer have no intervals.
+    The driver gets two numbers per column and fraction.
+    """
+    margin = 2 / BRACKET_ACCURACY
+    wanted = [x for q in fractions for x in (max(0.0, q - margin), min(1.0, q + margin))]
+    found = df.agg(
+        *[F.count(F.col(c).cast("double")).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.percentile_approx(F.col(c).cast("double"), wanted, BRACKET_ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)],
+    ).first()
+    brackets: dict[str, list[tuple[float, float]]] = {}
+    for i, c in enumerate(columns):
+        brackets[c] = []
+        if found[f"n{i}"] < 2 * BRACKET_ACCURACY:
+            continue
+        for low, high in sorted(zip(found[f"q{i}"][::2], found[f"q{i}"][1::2])):
+            if brackets[c] and low <= brackets[c][-1][1]:
+                brackets[c][-1] = (brackets[c][-1][0], max(high, brackets[c][-1][1]))
+            else:
+                brackets[c].append((low, high))
+    return brackets
+
+
+def feature_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+    """Exact quantiles of whole columns: feature, fraction, quantile.
+
+    Values outside the brackets are moved to the edge of the next one. That keeps their order and leaves the order
+    statistics inside as they are, and all that has to be counted and ordered are the few values within brackets.
+    """
+    long = unpivot_numeric(df, [], columns)
+    brackets = [(c, [b[0] for b in bs], [b[1] for b in bs]) for c, bs in quantile_brackets(df, columns, fractions).items() if bs]
+    if brackets:
+        table = df.sparkSession.createDataFrame(brackets, "feature string, _lows array<double>, _highs array<double>")
+        value = F.col("value")
+        # One row per column.
+        edged = long.join(F.broadcast(table), "feature", "left")
+        most = max(len(b[1]) for b in brackets)
+        at = count_below(value, "_highs", most)
+        moved = F.coalesce(F.greatest(value, F.get("_lows", at)), F.element_at("_highs", -1))
+        long = edged.select("feature", F.when(F.col("_lows").isNull() | value.isNull(), value).otherwise(moved).alias("value"))
+    return quantiles(long, ["feature"], "value", fractions)
+
+
 def column_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict[str, dict[float, float]]:
     """Exact quantiles of whole columns on the driver: one number per column and fraction."""
-    rows = quantiles(unpivot_numeric(df, [], columns), ["feature"], "value", fractions).collect()
+    rows = feature_quantiles(df, columns, fractions).collect()
     found: dict[str, dict[float, float]] = {c: {} for c in columns}
     for row in rows:
         found[row["feature"]][row["fraction"]] = row["quantile"]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.operators.ordering import count_below, quantiles, unpivot_numeric
+from lossledger.operators.ordering import count_below, feature_quantiles, unpivot_numeric
 
 EPSILON = 1e-6
 INFINITY = float("inf")
@@ -23,7 +23,7 @@ def psi_details(expected: DataFrame, actual: DataFrame, features: Sequence[str],
     present = [f for f in features if f in expected.columns and f in actual.columns]
     fractions = [i / bins for i in range(bins + 1)]
     cuts = (
-        quantiles(unpivot_numeric(expected, [], present), ["feature"], "value", fractions)
+        feature_quantiles(expected, present, fractions)
         .groupBy("feature")
         .agg(F.array_sort(F.collect_set("quantile")).alias("_cuts"))
         .select(
@@ -103,7 +103,8 @@ def psi_summary(details: DataFrame) -> DataFrame:
             F.max("expected_missing_rate").alias("expected_missing_rate"),
             F.max("actual_missing_rate").alias("actual_missing_rate"),
         )
-        .orderBy(F.desc_nulls_last("psi"), "feature")
+        # Features that are multiples of each other differ only by the rounding of their sums.
+        .orderBy(F.desc_nulls_last(F.round("psi", 9)), "feature")
     )
 
 

@@ -46,6 +46,7 @@ TRAINING = {
 def _save_reports(out: str, named: Mapping[str, DataFrame]) -> None:
     for name, df in named.items():
         save_report(df, f"{out}/reports/{name}")
+        save_report(read_reports(df.sparkSession, f"{out}/reports", [name])[name], f"{out}/reports_csv/{name}", as_csv=True)
 
 
 def read_marts(spark: SparkSession, out: str) -> dict[str, DataFrame]:
@@ -152,6 +153,10 @@ def run_training(stored: Mapping[str, DataFrame], out: str, model: str, **option
         out,
         {
             f"{model}_feature_columns": spark.createDataFrame([(c,) for c in result.features], "feature string"),
+            **(
+                {"pd_excluded_suspicious_columns": spark.createDataFrame([(c,) for c in result.excluded], "column string")}
+                if spec.binary else {}
+            ),
             f"{model}_time_split_summary": result.split_summary,
             f"{model}_model_metrics": result.metrics,
             f"{model}_best_model_summary": result.best_row(),
@@ -238,8 +243,10 @@ def run_summaries(spark: SparkSession, out: str) -> None:
 
 
 def run_all(
-    raw: Mapping[str, DataFrame], out: str, reporting_date: dt.date, checked_at: dt.datetime | None = None
+    raw: Mapping[str, DataFrame], out: str, reporting_date: dt.date, checked_at: dt.datetime | None = None,
+    boosting: bool = False,
 ) -> None:
+    """Marts, checks, staging, loss, stress, models and validation; `boosting` adds boosted trees to the models."""
     stored = build_marts(raw, out, reporting_date)
     spark = stored["financial_ratios_mart"].sparkSession
     check_quality(raw, stored, out, checked_at)
@@ -248,7 +255,7 @@ def run_all(
     run_stress(staged, out)
     run_diagnostics(stored, out)
     for model in TRAINING:
-        run_training(stored, out, model)
+        run_training(stored, out, model, boosting=boosting)
     run_calibration(stored, out)
     run_rating_scale(spark, out)
     run_validation(stored, out)

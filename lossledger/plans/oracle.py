@@ -7,22 +7,21 @@ where the Spark side uses aggregates and range partitions.
 
 from __future__ import annotations
 
-from lossledger.operators.ecl import SCENARIO_FACTORS, SCENARIO_WEIGHTS
-from lossledger.operators.marts import (
+from lossledger.plans.oracle_values import (
+    AVERAGE_CHECKS,
+    BAD_ROW_CHECKS,
     CCF_SAMPLE_COLUMNS,
+    DUPLICATE_CHECKS,
     LGD_SAMPLE_COLUMNS,
     PD_SAMPLE_COLUMNS,
     RATIO_MART_COLUMNS,
-    STAGING_SAMPLE_COLUMNS,
-)
-from lossledger.operators.quality import (
-    AVERAGE_CHECKS,
-    BAD_ROW_CHECKS,
-    DUPLICATE_CHECKS,
     ROW_COUNT_CHECKS,
+    SCENARIO_FACTORS,
+    SCENARIO_WEIGHTS,
     STAGE_DETAILS,
+    STAGING_SAMPLE_COLUMNS,
+    STRESS_SCENARIOS,
 )
-from lossledger.operators.stress import STRESS_SCENARIOS
 
 REPORTING_DATE = "DATE '2001-08-01'"
 
@@ -858,7 +857,7 @@ VALIDATION = {
         LEFT JOIN (SELECT feature, sum(psi_component) AS psi FROM psi_all_details GROUP BY feature) USING (feature)""",
     "psi_details": """
         SELECT * FROM psi_all_details WHERE feature IN (
-            SELECT feature FROM psi_summary ORDER BY psi DESC NULLS LAST, feature LIMIT 20)""",
+            SELECT feature FROM psi_summary ORDER BY round(psi, 9) DESC NULLS LAST, feature LIMIT 20)""",
     "alt_scale_mapping": """
         SELECT rating_grade AS original_rating_grade,
                CASE WHEN sparse AND rating_grade IN ('E', 'F') THEN 'E_F' ELSE rating_grade END AS alternative_rating_grade,
@@ -887,7 +886,7 @@ VALIDATION = {
     "best_ccf": "SELECT * FROM ccf_regression_metrics WHERE split = 'oot' ORDER BY weighted_mae, model LIMIT 1",
     "severe": "SELECT * FROM stress_summary WHERE scenario = 'severe_downturn'",
     "dq_counts": "SELECT count(*) FILTER (status = 'FAIL') AS f, count(*) FILTER (status = 'WARN') AS w, count(*) FILTER (status = 'PASS') AS p FROM data_quality",
-    "top_psi": "SELECT * FROM psi_summary ORDER BY psi DESC NULLS LAST, feature LIMIT 1",
+    "top_psi": "SELECT * FROM psi_summary ORDER BY round(psi, 9) DESC NULLS LAST, feature LIMIT 1",
     "red_grades": "SELECT count(*) FILTER (traffic_light = 'RED') AS red FROM binomial_backtest",
     "traffic_lights": " UNION ALL ".join([
         _light_sql("PD", "pd_oot_gini", "gini", ">= 0.30", ">= 0.20", "< 0.20", _min_good("gini", 0.3, 0.2), "OOT Gini for the best PD model.", "best_pd"),

@@ -1,20 +1,15 @@
-"""Registered queries against DuckDB on the smallest testdata. All of them: tools/check_oracles.py."""
+"""All registered queries with SQL against DuckDB on the smallest testdata."""
 
 import pytest
 
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as spark_entry  # noqa: E402
+from lossledger.plans.catalog import QUERIES  # noqa: E402
 from tools.check_oracles import TABLES, table_rows, type_differences  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
-CHECKED = [
-    "asof_statement", "asof_rating", "payment_rollup", "latest_payment", "ratio_mart", "lgd_sample", "staging_sample",
-    "stage_assignment", "migration_matrix", "ecl_facility", "ecl_cube", "stress_by_industry", "data_quality", "lgd_outliers",
-    "winsorized_ratios", "leakage_report", "numeric_coercion", "pd_time_split", "binary_metrics", "label_metrics",
-    "lgd_regression_metrics", "pd_calibration_bins", "quantile_calibration_bins", "pd_backtest", "binomial_backtest",
-    "psi_summary", "lgd_by_segment",
-]
+CHECKED = sorted(name for name, query in QUERIES.items() if query.oracle)
 
 
 @pytest.fixture(scope="module")

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lossledger.operators import ordering
 from lossledger.operators.asof import History, asof_join, latest_row
 from lossledger.operators.ordering import (
     column_quantiles,
@@ -143,3 +144,19 @@ def test_earliest_rows(spark):
     assert earliest_rows(df, "d", None) is df
     with pytest.raises(ValueError):
         earliest_rows(df, "d", 0)
+
+
+def test_bracketed_quantiles_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "BRACKET_ACCURACY", 100)
+    rows = [(float(i * 7919 % 5003), float(i % 3), None if i % 2 else 1.5, None) for i in range(5003)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    fractions = [0.0, 0.1, 0.25, 0.5, 0.777, 1.0]
+    brackets = ordering.quantile_brackets(df, ["a", "b", "c", "d"], fractions)
+    assert len(brackets["a"]) == 6 and brackets["d"] == []
+    got = ordering.column_quantiles(df, ["a", "b", "c", "d"], fractions)
+    for i, c in enumerate("abc"):
+        values = [r[i] for r in rows if r[i] is not None]
+        assert got[c] == pytest.approx({q: float(np.quantile(values, q)) for q in fractions})
+    assert got["d"] == {}
+    with pytest.raises(ValueError):
+        ordering.quantiles(df, [], "a", fractions)
