@@ -35,6 +35,7 @@ from lossledger.operators import (
     staging,
     stress,
 )
+from lossledger.plans import model_checks
 from lossledger.plans.oracle import oracle_query
 from lossledger.session import materialize
 from lossledger.sources.portfolio import REPORTING_DATE, Portfolio
@@ -43,6 +44,8 @@ PD, TARGET = "origination_pd_estimate", "target_default_12m"
 SEGMENTS = ["product_type", "collateral_type", "industry", "company_size", "origination_rating_grade"]
 WINSORIZED = ["debt_to_ebitda", "interest_coverage", "revenue_growth_yoy"]
 PSI_TOP_N = 20
+# The bound of a bounded fit, here as a report of its own.
+EARLIEST_ROWS = 500
 
 
 class Frames:
@@ -237,16 +240,22 @@ def winsorized_ratios(f: Frames) -> DataFrame:
     return outliers.winsorize(ratios, WINSORIZED)
 
 
-def numeric_coercion(f: Frames) -> DataFrame:
+def order_texts(f: Frames) -> DataFrame:
     key, customer = F.col("o_orderkey"), F.col("o_custkey").cast("string")
-    texts = f.portfolio.source("orders").select(
+    return f.portfolio.source("orders").select(
         key.cast("string").alias("order_text"),
         F.col("o_totalprice").cast("string").alias("price_text"),
         F.when(key % 4 == 0, "n/a").otherwise(customer).alias("customer_text"),
         F.when(key % 10 == 0, "n/a").otherwise(customer).alias("mostly_number_text"),
         "o_orderpriority",
     )
-    return features.numeric_like_profile(texts)
+
+
+def samples(f: Frames) -> dict[str, DataFrame]:
+    macro = f.raw["macro_scenarios"]
+    return {
+        "pd": marts.pd_sample(f.mart), "lgd": marts.lgd_sample(f.mart, macro), "ccf": marts.ccf_sample(f.mart, macro),
+    }
 
 
 def two_pd_scores(f: Frames) -> DataFrame:
@@ -420,7 +429,32 @@ QUERIES: dict[str, Query] = {
     ),
     "winsorized_ratios": Query(winsorized_ratios, "winsorized_ratios", _digits(6, *WINSORIZED)),
     "leakage_report": Query(lambda f: leakage.leakage_coverage(f.mart), "leakage_report"),
-    "numeric_coercion": Query(numeric_coercion, "numeric_coercion"),
+    "numeric_coercion": Query(lambda f: features.numeric_like_profile(order_texts(f)), "numeric_coercion"),
+    "coerced_rows": Query(lambda f: model_checks.typed_orders(order_texts(f)), "coerced_rows"),
+    "parsed_rows": Query(lambda f: model_checks.dated_orders(f.portfolio.source("orders")), "parsed_rows"),
+    "earliest_fit_rows": Query(
+        lambda f: model_checks.earliest_fit_rows(f.pd_split, EARLIEST_ROWS), "earliest_fit_rows"
+    ),
+    "model_features": Query(lambda f: model_checks.model_features(samples(f)), "model_features"),
+    "preparation_statistics": Query(
+        lambda f: model_checks.preparation_statistics(marts.pd_sample(f.mart), training.PD_SPEC),
+        "preparation_statistics", _digits(2, "median", "mean", "deviation"),
+    ),
+    "category_positions": Query(
+        lambda f: model_checks.category_positions(marts.pd_sample(f.mart), training.PD_SPEC), "category_positions"
+    ),
+    "pd_model_checks": Query(
+        lambda f: model_checks.model_checks(marts.pd_sample(f.mart), training.PD_SPEC, True), "pd_model_checks",
+        _digits(6, "actual"),
+    ),
+    "lgd_model_checks": Query(
+        lambda f: model_checks.model_checks(samples(f)["lgd"], training.LGD_SPEC, False), "lgd_model_checks",
+        _digits(6, "actual"),
+    ),
+    "ccf_model_checks": Query(
+        lambda f: model_checks.model_checks(samples(f)["ccf"], training.CCF_SPEC, True), "ccf_model_checks",
+        _digits(6, "actual"),
+    ),
     # Split, metrics, bins.
     "pd_time_split": Query(
         lambda f: splitting.split_summary(f.pd_split, "observation_date", TARGET), "pd_time_split",

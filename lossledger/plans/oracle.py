@@ -936,7 +936,83 @@ VALIDATION = {
     ]),
 }
 
-CTES = {**RAW, **MARTS, **IMPAIRMENT, **VALIDATION}
+_NOT_FEATURES = {
+    "pd": "facility_id company_id observation_date target_default_12m",
+    "lgd": "facility_id company_id default_date realized_lgd total_recovery_amount total_collection_cost "
+    "net_recovery_amount recovery_events_count writeoff_flag",
+    "ccf": "facility_id company_id default_date realized_ccf ead_at_default default_type dpd_at_default writeoff_flag",
+}
+_SAMPLES = {"pd": PD_SAMPLE_COLUMNS, "lgd": LGD_SAMPLE_COLUMNS, "ccf": CCF_SAMPLE_COLUMNS}
+_CATEGORICAL = TEXT_FIELDS | {"observation_date", "default_type", "origination_rating_grade"}
+
+
+def _features_of(model: str) -> list[str]:
+    return [c for c in _SAMPLES[model] if c not in _NOT_FEATURES[model].split()]
+
+
+_PD_NUMBERS = [c for c in _features_of("pd") if c not in _CATEGORICAL]
+_PD_TEXTS = [c for c in _features_of("pd") if c in _CATEGORICAL]
+
+
+def _filled(c: str) -> str:
+    return f"coalesce({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM pd_sample_split WHERE split = 'train'))"
+
+
+def _checks_sql(split: str, target: str, baseline: str, models: list[str], settled: list[str]) -> str:
+    names = ", ".join(f"('{m}')" for m in [baseline, *models])
+    zero = ", ".join(f"'{m}'" for m in [baseline, *settled])
+    return f"""
+        SELECT model, split, count(*) AS rows, count(*) AS bounded, avg({target}) AS actual,
+               CASE WHEN split = 'train' AND model IN ({zero}) THEN 0::DOUBLE END AS train_gap
+        FROM {split}, (VALUES {names}) AS m(model) GROUP BY model, split"""
+
+
+PREPARATION = {
+    "coerced_rows": "SELECT order_text::DOUBLE AS order_text, price_text::DOUBLE AS price_text, customer_text, "
+    "try_cast(mostly_number_text AS DOUBLE) AS mostly_number_text, o_orderpriority FROM order_texts",
+    "parsed_rows": "SELECT o_orderkey AS order_key, o_orderdate::DATE AS day, (o_orderkey % 3)::DOUBLE AS target FROM orders "
+    "WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0",
+    "earliest_fit_rows": "SELECT facility_id, observation_date FROM pd_split WHERE split = 'train' "
+    "ORDER BY observation_date, facility_id LIMIT 500",
+    "model_features": " UNION ALL ".join(
+        f"SELECT '{m}' AS model, '{c}' AS feature, '{'categorical' if c in _CATEGORICAL else 'numeric'}' AS kind, "
+        f"count({c}) AS filled FROM {m}_sample"
+        for m in _SAMPLES for c in _features_of(m)
+    ),
+    "pd_sample_split": _split_sql("pd_sample", "observation_date"),
+    "preparation_statistics": " UNION ALL ".join(
+        [
+            f"SELECT '{c}' AS feature, quantile_cont({c}::DOUBLE, 0.5) AS median, avg({_filled(c)}) AS mean, "
+            f"stddev_pop({_filled(c)}) AS deviation, NULL::VARCHAR AS mode FROM pd_sample_split WHERE split = 'train'"
+            for c in _PD_NUMBERS
+        ]
+        + [
+            f"(SELECT '{c}', NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, {c} FROM pd_sample_split WHERE split = 'train' "
+            f"AND {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+            for c in _PD_TEXTS
+        ]
+    ),
+    "category_positions": " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS feature, l.level, l.position, coalesce(h.n, 0) AS oot_rows
+        FROM (SELECT level, (row_number() OVER (ORDER BY level) - 1)::INTEGER AS position FROM (
+                SELECT DISTINCT coalesce({c}, (SELECT mode FROM preparation_statistics WHERE feature = '{c}')) AS level
+                FROM pd_sample_split WHERE split = 'train')) l
+        FULL JOIN (SELECT coalesce({c}, (SELECT mode FROM preparation_statistics WHERE feature = '{c}')) AS level, count(*) AS n
+                   FROM pd_sample_split WHERE split = 'oot' GROUP BY 1) h ON h.level = l.level"""
+        for c in _PD_TEXTS
+    ),
+    "pd_model_checks": _checks_sql(
+        "pd_sample_split", "target_default_12m", "dummy_prior",
+        ["logistic_regression", "random_forest", "boosted_trees"], ["logistic_regression"],
+    ),
+    "lgd_model_checks": _checks_sql("lgd_split", "realized_lgd", "dummy_mean", ["ridge", "random_forest"], []),
+    "ccf_model_checks": _checks_sql(
+        "ccf_split", "realized_ccf", "dummy_mean", ["ridge", "random_forest", "boosted_trees"], []
+    ),
+}
+
+CTES = {**RAW, **MARTS, **IMPAIRMENT, **VALIDATION, **PREPARATION}
 
 
 def oracle_query(step: str, digits: dict[str, int]) -> str:

@@ -159,3 +159,12 @@ def test_industry_multiplier(spark):
     assert of(1.0, False) == pytest.approx([1.35, 1.0, 1.15, 1.0, 1.0])
     assert of(1.15, True) == pytest.approx([1.4025, 1.0, 1.3725, 1.0, 1.0])
     assert max(of(9.0, True)) == 2.5
+
+
+def test_migrations_count_every_facility(spark):
+    rows = [("1", None, "A"), ("2", "A", None), ("3", "Default", "Default"), ("4", "odd", "A"), ("5", "A", "A"), ("6", "A", "A")]
+    df = spark.createDataFrame(rows, "facility_id string, origination_rating_grade string, current_rating_grade string")
+    found = {(r["origination_rating_grade"], r["current_rating_grade"]): r["facilities"] for r in staging.rating_migrations(df).collect()}
+    assert found == {
+        ("missing", "A"): 1, ("A", "missing"): 1, ("Default", "Default"): 1, ("odd", "A"): 1, ("A", "A"): 2,
+    }

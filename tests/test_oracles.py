@@ -9,7 +9,8 @@ from lossledger.plans.catalog import QUERIES  # noqa: E402
 from tools.check_oracles import TABLES, table_rows, type_differences  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
-CHECKED = sorted(name for name, query in QUERIES.items() if query.oracle)
+# Training takes minutes: the model checks run with tools/check_oracles.py.
+CHECKED = sorted(n for n, query in QUERIES.items() if query.oracle and not n.endswith("_model_checks"))
 
 
 @pytest.fixture(scope="module")
