@@ -51,7 +51,15 @@ def fit_sigmoid(valid: DataFrame, margin: str = "margin", label: str = "label"):
 
 
 def fit_isotonic(valid: DataFrame, margin: str = "margin", label: str = "label"):
-    model = IsotonicRegression(featuresCol=margin, labelCol=label, predictionCol="calibrated").fit(valid)
+    """Rising steps over the margin.
+
+    Rows of one margin get one value anyway, so they become one row with their mean and weight before the fit, which
+    pools its blocks on the driver: at most a block per distinct margin of the validation split.
+    """
+    distinct = valid.groupBy(margin).agg(F.avg(label).alias(label), F.count(F.lit(1)).cast("double").alias("weight"))
+    model = IsotonicRegression(
+        featuresCol=margin, labelCol=label, weightCol="weight", predictionCol="calibrated"
+    ).fit(distinct)
     return model.transform
 
 

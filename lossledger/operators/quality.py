@@ -1,7 +1,7 @@
 """Data-quality checks over raw tables and marts.
 
-Each table is aggregated once and the checks are read off that row; only the uniqueness and
-date-order checks need a pass of their own. An empty table gives NULL sums, which fail.
+Each table is aggregated once and the checks are read off that row; only the date-order checks need a pass of
+their own. An empty table gives NULL sums, which fail.
 """
 
 from __future__ import annotations
@@ -150,7 +150,10 @@ def stage_proxy() -> tuple[Column, Column]:
 
 
 def table_checks(table: str, df: DataFrame) -> DataFrame | None:
-    """The checks of one table that need no shuffle, from one aggregate over it."""
+    """The checks of one table from one pass over it.
+
+    A table with a uniqueness check is counted by its key first; the other counts are sums over the keys.
+    """
     measures: dict[str, Column] = {"rows": F.count(F.lit(1))}
     checks: list[Column] = []
 
@@ -180,23 +183,25 @@ def table_checks(table: str, df: DataFrame) -> DataFrame | None:
             checks.append(
                 _check("ifrs9_stage_distribution", f"stage {number} facilities", table, "facilities", count, None, "INFO", STAGE_DETAILS)
             )
-    if not checks:
-        return None
-    return df.agg(*[c.alias(n) for n, c in measures.items()]).select(F.inline(F.array(*checks)))
-
-
-def duplicate_checks(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Repeated keys. Apart from the other checks, so that only the key columns are shuffled."""
-    results = []
-    for name, table, keys, details in DUPLICATE_CHECKS:
-        if table in tables:
-            # A single NULL key is not a distinct value; a composite key with a NULL part is.
-            key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
-            counted = tables[table].agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("m"))
-            count = F.col("m")
-            check = _check("duplicate_check", name, table, "duplicate_count", count, 0.0, _pass_when(count == 0, "FAIL"), details)
-            results.append(counted.select(F.inline(F.array(check))))
-    return results
+    unique = next((c for c in DUPLICATE_CHECKS if c[1] == table), None)
+    if unique is None:
+        if not checks:
+            return None
+        return df.agg(*[c.alias(n) for n, c in measures.items()]).select(F.inline(F.array(*checks)))
+
+    name, _, keys, details = unique
+    # A single NULL key is not a distinct value; a composite key with a NULL part is.
+    is_value = F.col(keys[0]).isNotNull() if len(keys) == 1 else F.lit(True)
+    by_key = df.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
+    totals = by_key.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count(F.when(is_value, 1)).alias("distinct"),
+        *[F.sum(n).alias(n) for n in measures if n != "rows"],
+    )
+    count = F.col("rows") - F.col("distinct")
+    checks.append(
+        _check("duplicate_check", name, table, "duplicate_count", count, 0.0, _pass_when(count == 0, "FAIL"), details)
+    )
+    return totals.select(F.inline(F.array(*checks)))
 
 
 def date_order_checks(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
@@ -229,7 +234,7 @@ def date_order_checks(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
 def data_quality(tables: Mapping[str, DataFrame], checked_at: dt.datetime | None = None) -> DataFrame:
     """The full check report, failures first. `tables` maps raw.<name> and mart.<name> to frames."""
     parts = [part for name, df in tables.items() if (part := table_checks(name, df)) is not None]
-    parts += duplicate_checks(tables) + date_order_checks(tables)
+    parts += date_order_checks(tables)
     report = reduce(DataFrame.unionByName, parts)
     severity = F.when(F.col("status") == "FAIL", 1).when(F.col("status") == "WARN", 2).when(F.col("status") == "PASS", 3).otherwise(4)
     if checked_at is not None:
