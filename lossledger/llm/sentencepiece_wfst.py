@@ -30,7 +30,8 @@ from lossledger.llm.common import map_arrow
 from lossledger.llm.shingles import text_pieces
 
 SPACE = "▁"
-MEMO, MEMO_CHARS = 300_000, 48
+# Bounds of what a worker remembers: paths of chunks and weights of arcs, about 400 MB together when full.
+MEMO, MEMO_CHARS, ARCS = 1_000_000, 48, 1_000_000
 FALLBACK_PENALTY = 10.0
 
 SCHEMA = "n_tokens bigint, token_ids array<int>, decoded_sha256 string, round_trip boolean"
@@ -137,7 +138,7 @@ class Transducer:
             return -pieces[piece].score
         arc = before, piece
         if arc not in self.allowed:
-            if len(self.allowed) >= 4 * MEMO:
+            if len(self.allowed) >= ARCS:
                 self.allowed.clear()
             texts = [pieces[p].text for p in arc if p >= 0]
             self.allowed[arc] = self.merged("".join(texts)) == texts
