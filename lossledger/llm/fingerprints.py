@@ -8,6 +8,8 @@ fewer words than k has one gram, all its words; with fewer grams than a window,
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,9 +62,15 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(both / union)
 
 
-def with_next(df: DataFrame, columns: list[str], prefix: str = "next_") -> DataFrame:
+def with_next(
+    df: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] | None = None,
+    derived: Sequence[str] = (), prefix: str = "next_",
+) -> DataFrame:
     """Add `columns` of the next document in descending order of doc_id; after the last comes the first.
 
+    `derive` adds the columns `derived` to rows in their place (a frame with the struct `row`), after the shuffle, so
+    that they do not travel; theirs of the next document are added as well.
+
     Rows are dealt into ranges of doc_id with literal edges that are ids of real rows. The row after the last
     one of a range is the largest of the range below, so rows at an edge also go to the range above as guests,
     and those with the largest id to the lowest range. One shuffle; no range is larger for a hot source.
@@ -79,14 +87,20 @@ def with_next(df: DataFrame, columns: list[str], prefix: str = "next_") -> DataF
         F.when(F.col("doc_id").eqNullSafe(F.lit(top)), F.struct(F.lit(0).alias("part"), F.lit(2).alias("guest"))),
     )
     # The row as one struct: columns of `df` may have any name.
-    dealt = df.select(F.struct(*df.columns).alias("row"), F.explode(F.filter(seats, lambda s: s.isNotNull())).alias("seat"))
-    order = Window.partitionBy("seat.part").orderBy(
-        "seat.guest", F.col("row.doc_id").desc_nulls_last(), *[F.col(f"row.{c}") for c in columns]
+    dealt = (
+        df.select(F.struct(*df.columns).alias("row"), F.explode(F.filter(seats, lambda s: s.isNotNull())).alias("seat"))
+        .select("row", F.col("seat.part").alias("part"), F.col("seat.guest").alias("guest"))
+        .repartition(shuffle_partitions(df.sparkSession), "part")
+    )
+    placed = derive(dealt) if derive else dealt
+    order = Window.partitionBy("part").orderBy(
+        "guest", F.col("row.doc_id").desc_nulls_last(), *[F.col(f"row.{c}") for c in columns]
     )
-    led = dealt.select("row", "seat", *[F.lead(f"row.{c}").over(order).alias(prefix + c) for c in columns])
-    added = [prefix + c for c in columns]
+    leads = [F.lead(f"row.{c}").over(order).alias(prefix + c) for c in columns]
+    leads += [F.lead(c).over(order).alias(prefix + c) for c in derived]
+    added = [*derived, *[prefix + c for c in [*columns, *derived]]]
     kept = [F.col(f"row.{c}") for c in df.columns if c not in added]
-    return led.filter("seat.guest = 0").select(*kept, *added)
+    return placed.select("row", "guest", *derived, *leads).filter("guest = 0").select(*kept, *added)
 
 
 def edited_text(text: Column, n_chars: Column, next_text: Column) -> Column:

@@ -51,15 +51,16 @@ def op4_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    marked = fingerprints.with_marks(docs, "text", "marks").select(
-        "doc_id", "text", fingerprints.digest(F.col("marks")).alias("fingerprint"),
-        F.transform("marks", lambda m: m["hash"]).alias("hashes"),
-    )
-    led = fingerprints.with_next(marked, ["text", "hashes"]).withColumn(
+
+    def marked(rows: DataFrame) -> DataFrame:
+        hashes = F.transform("marks", lambda m: m["hash"])
+        return fingerprints.with_marks(rows, "row.text", "marks").withColumn("hashes", hashes)
+
+    led = fingerprints.with_next(docs, ["text"], marked, ["marks", "hashes"]).withColumn(
         "n_chars", F.char_length("text").cast("bigint")
     )
     edited = led.select(
-        "doc_id", "n_chars", "fingerprint", "hashes", "next_hashes",
+        "doc_id", "n_chars", fingerprints.digest(F.col("marks")).alias("fingerprint"), "hashes", "next_hashes",
         fingerprints.edited_text(F.col("text"), F.col("n_chars"), F.col("next_text")).alias("edited"),
     )
     marked_again = fingerprints.with_marks(edited, "edited", "edited_marks")
