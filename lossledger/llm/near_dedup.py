@@ -11,8 +11,9 @@ How the work stays bounded when a group of copies is huge:
 * a class whose set has more than 15 % of shingles that occur in no other candidate cannot have a link (exact);
 * in a table all members are compared with one pivot, the member with the fewest shingles of its own; verified links
   are contracted to components, and only members that are not yet with the pivot are compared further: with a
-  second pivot, then with every member of another component that passes the exact bounds on lengths and own
-  shingles. Links inside a component are implied and never listed; no link between components is left out.
+  second pivot, then with every member of another component that shares a shingle outside the pivot's set with it,
+  or whose known overlap with the pivot leaves a link possible (exact bounds). Links inside a component are implied
+  and never listed; no link between components is left out.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.llm.common import stored
+from lossledger.llm.common import map_arrow, stored
 from lossledger.llm.shingles import mix, shingle_sets, text_pieces
 
 HALVES, HALF_SIZE = 20, 4
@@ -183,7 +184,7 @@ def linked_classes(docs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFra
         "class", F.col("doc_id").alias("wanted_id"), "set_high", "set_low"
     )
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    members = stored(texts.select("class", "set_high", "set_low", "text").mapInArrow(_members, MEMBER))
+    members = stored(map_arrow(texts.select("class", "set_high", "set_low", "text"), _members, MEMBER))
     if members.count() != survivors.count():  # repeated rows
         members = stored(members.dropDuplicates(["class"]))
 
@@ -213,27 +214,70 @@ def linked_classes(docs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFra
         head = by_key.groupBy("key").agg(
             F.min(F.struct("own", "class", "component")).alias("p"), F.min("component").alias("low"),
             F.max("component").alias("high"),
-        ).filter("low <> high").select("key", F.col("p.component").alias("main"))
+        ).filter("low <> high").select("key", F.col("p.component").alias("main"), F.col("p.class").alias("pivot"))
         return stored(by_key.join(head, "key"))
 
     open_seats = seats(edges)
-    loose = open_seats.filter("component <> main").drop("main")
+    loose = open_seats.filter("component <> main").drop("main", "pivot")
     edges = edges.union(verified(_pairs_with_pivot(loose), members))
 
-    open_seats = seats(edges)
-    x = open_seats.filter("component <> main").select(
-        "key", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("own").alias("own_a"),
-        F.col("component").alias("component_a"),
-    )
-    y = open_seats.select(
-        "key", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("own").alias("own_b"),
-        F.col("component").alias("component_b"), (F.col("component") == F.col("main")).alias("with_main"),
+    rest = _pairs_past_pivot(seats(edges), members)
+    return components(edges.union(verified(rest, members)))
+
+
+def _pairs_past_pivot(open_seats: DataFrame, members: DataFrame) -> DataFrame:
+    """Every pair of different components under one pivot whose sets can be similar enough.
+
+    What two sets share lies inside the pivot's set or outside. If they share nothing outside, the overlap is at most
+    the smaller of their overlaps with the pivot, which are known; for sets of the pivot's size that rules out every
+    link of a set that is not linked with the pivot itself. Pairs that share something outside are found by joining
+    on it: copies share little but what they were copied from.
+    """
+    seats = open_seats.select("pivot", "main", "class", "n", "own", "component").distinct()
+    pivots = members.select(F.col("class").alias("pivot"), F.col("shingles").alias("of_pivot"))
+    parted = stored(
+        seats.join(members.select("class", "shingles"), "class").join(pivots, "pivot")
+        .withColumn("outside", F.array_except("shingles", "of_pivot")).drop("shingles", "of_pivot")
+        .withColumn("inside", F.col("n") - F.size("outside"))
     )
-    rest = x.join(y, "key").filter(
-        (F.col("component_a") != F.col("component_b")) & (F.col("with_main") | (F.col("a") < F.col("b")))
+    loose = F.col("component") != F.col("main")
+    columns = ["class", "n", "own", "component"]
+
+    def side(df: DataFrame, name: str, bound: str, *keys: str) -> DataFrame:
+        return df.select(*keys, *[F.col(c).alias(f"{c}_{name}") for c in columns], F.col(bound).alias(f"bound_{name}"))
+
+    overlap = F.least("bound_a", "bound_b")  # no two sets share more
+    apart = (
+        (F.col("component_a") != F.col("component_b"))
+        & ((F.col("component_b") == F.col("main")) | (F.col("class_a") < F.col("class_b")))
         & _possible(F.col("n_a"), F.col("own_a"), F.col("n_b"), F.col("own_b"))
-    ).select("a", "b").distinct()
-    return components(edges.union(verified(rest, members)))
+        & (100 * overlap >= LINK_PERCENT * (F.col("n_a") + F.col("n_b") - overlap))
+    )
+    # Nothing in common outside: n_b is at most so much. Sizes go by steps of 2 %, checked exactly afterwards.
+    step = lambda n: F.floor(F.log(n) / 0.02).cast("int")
+    most = F.least(
+        F.floor(F.col("inside") * (100 + LINK_PERCENT) / LINK_PERCENT) - F.col("n"), F.floor(F.col("n") * 100 / LINK_PERCENT)
+    )
+    least = F.ceil(F.col("n") * LINK_PERCENT / 100)
+    x = parted.filter(loose & (most >= least)).withColumn("size", F.explode(F.sequence(step(least), step(most))))
+    by_size = side(x, "a", "inside", "pivot", "main", "size").join(
+        side(parted.withColumn("size", step(F.col("n"))), "b", "inside", "pivot", "size"), ["pivot", "size"]
+    ).filter(apart)
+
+    outside = parted.withColumn("shingle", F.explode("outside")).drop("outside")
+    met = stored(
+        outside.groupBy("pivot", "shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high").select("pivot", "shingle")
+    )
+    shared = outside.join(met, ["pivot", "shingle"])
+    # Of what lies outside, only what another component has too can add to an overlap.
+    reach = shared.groupBy("pivot", "class").agg((F.first("inside") + F.count(F.lit(1))).alias("reach"))
+    shared = shared.join(reach, ["pivot", "class"])
+    by_shingle = side(shared.filter(loose), "a", "reach", "pivot", "main", "shingle").join(
+        side(shared, "b", "reach", "pivot", "shingle"), ["pivot", "shingle"]
+    ).filter(apart)
+    pairs = [found.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")) for found in (by_size, by_shingle)]
+    return pairs[0].union(pairs[1]).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -246,7 +290,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     # Other columns could have names of ours.
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = stored(docs.mapInArrow(_sign, SIGNATURE).withColumn("row", F.monotonically_increasing_id()))
+    rows = stored(map_arrow(docs, _sign, SIGNATURE).withColumn("row", F.monotonically_increasing_id()))
     by_set = ["n_shingles", "set_high", "set_low"]
     sets = stored(rows.filter("n_shingles > 0").groupBy(*by_set).agg(F.min("row").alias("class")))
     linked = linked_classes(docs, rows, sets).withColumnRenamed("node", "class")
