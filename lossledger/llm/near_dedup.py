@@ -2,13 +2,15 @@
 
 Two small collections of HALVES keys are made per text, each key from HALF_SIZE minhashes. A table key is a pair of
 one key from either collection, so 2 x HALVES x HALF_SIZE minhashes serve HALVES ** 2 tables. With similarity s a
-link is missed with probability 1 - (1 - (1 - s ** HALF_SIZE) ** HALVES) ** 2: below 1e-6 at s = 0.85.
+link is missed with probability 1 - (1 - (1 - s ** HALF_SIZE) ** HALVES) ** 2: below 1e-6 at s = 0.85. Another limit
+takes as many keys as that needs (`halves_for`).
 
 How the work stays bounded when a group of copies is huge:
 * texts with equal sets are one class, found by grouping; only classes are compared;
 * a key that no other class has cannot make a table key that another class has, so single keys are counted first
   and tables are formed only from the rest;
-* a class whose set has more than 15 % of shingles that occur in no other candidate cannot have a link (exact);
+* a class whose set has more than 100 - `percent` % of shingles that occur in no other candidate cannot have a link
+  (exact);
 * in a table all members are compared with one pivot, the member with the fewest shingles of its own; verified links
   are contracted to components, and only members that are not yet with the pivot are compared further: with a
   second pivot, then with every member of another component that shares a shingle outside the pivot's set with it,
@@ -18,9 +20,10 @@ How the work stays bounded when a group of copies is huge:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -28,25 +31,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossledger.llm.common import map_arrow, stored
-from lossledger.llm.shingles import mix, shingle_sets, text_pieces
+from lossledger.llm.shingles import SHINGLE, mix, shingle_sets, text_pieces
 
 HALVES, HALF_SIZE = 20, 4
 LINK_PERCENT = 85
+#: A link at the limit is missed at most so often.
+MISS = 1e-6
 GROUP_HASHES = 1 << 16
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, set_high bigint, set_low bigint, halves array<bigint>"
 MEMBER = "class bigint, n bigint, shingles array<bigint>"
 
 
-def _seeds() -> tuple[np.ndarray, np.ndarray]:
-    made = mix(np.arange(1, 2 * 2 * HALVES * HALF_SIZE + 1, dtype=np.uint64))
+def halves_for(percent: int) -> int:
+    """Keys of either collection with which a link at the limit is missed less often than MISS."""
+    if not 1 <= percent <= 99:
+        raise ValueError("the limit of a link has to be 1 to 99 percent")
+    return max(1, math.ceil(math.log(MISS / 2) / math.log(1 - (percent / 100) ** HALF_SIZE)))
+
+
+def _seeds(halves: int) -> tuple[np.ndarray, np.ndarray]:
+    made = mix(np.arange(1, 2 * 2 * halves * HALF_SIZE + 1, dtype=np.uint64))
     half = len(made) // 2
     return made[:half], made[half:] | np.uint64(1)
 
 
-def half_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
-    """2 x HALVES keys for each non-empty set; the number of the key is part of it."""
-    xors, factors = _seeds()
+def half_keys(sets: list[np.ndarray], halves: int = HALVES) -> list[np.ndarray]:
+    """2 x `halves` keys for each non-empty set; the number of the key is part of it."""
+    xors, factors = _seeds(halves)
     keys: list[np.ndarray] = [np.zeros(0, np.uint64)] * len(sets)
     filled = [i for i, s in enumerate(sets) if len(s)]
     at = 0
@@ -59,10 +71,10 @@ def half_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
         flat = np.concatenate([sets[i] for i in group])
         starts = np.cumsum([0] + [len(sets[i]) for i in group[:-1]])
         minima = np.stack([np.minimum.reduceat((flat ^ x) * f, starts) for x, f in zip(xors, factors)], axis=1)
-        made = np.zeros((len(group), 2 * HALVES), np.uint64)
+        made = np.zeros((len(group), 2 * halves), np.uint64)
         for j in range(HALF_SIZE):
             made = mix(made + minima[:, j::HALF_SIZE])
-        made = mix(made + np.arange(2 * HALVES, dtype=np.uint64))
+        made = mix(made + np.arange(2 * halves, dtype=np.uint64))
         for i, row in zip(group, made):
             keys[i] = row
         at = to
@@ -80,36 +92,42 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row, to, data, offsets in text_pieces(batch, "text"):
-            sets = shingle_sets(data, offsets)
-            digests = np.array([set_digest(s) for s in sets], dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").slice(row, to - row),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(digests[:, 0]), pa.array(digests[:, 1]), _lists(half_keys(sets)),
-                ],
-                names=["doc_id", "n_shingles", "set_high", "set_low", "halves"],
-            )
+def _sign(size: int, halves: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, to, data, offsets in text_pieces(batch, "text"):
+                sets = shingle_sets(data, offsets, size)
+                digests = np.array([set_digest(s) for s in sets], dtype=np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(row, to - row),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(digests[:, 0]), pa.array(digests[:, 1]), _lists(half_keys(sets, halves)),
+                    ],
+                    names=["doc_id", "n_shingles", "set_high", "set_low", "halves"],
+                )
+
+    return run
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _members(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The sets of the wanted texts; rows that only share the doc_id of a wanted one are left out."""
-    for batch in batches:
-        for row, to, data, offsets in text_pieces(batch, "text"):
-            sets = shingle_sets(data, offsets)
-            wanted = zip(batch.column("set_high").slice(row, to - row).to_pylist(),
-                         batch.column("set_low").slice(row, to - row).to_pylist())
-            right = [i for i, (s, w) in enumerate(zip(sets, wanted)) if set_digest(s) == w]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("class").slice(row, to - row).take(pa.array(right, pa.int64())),
-                    pa.array([len(sets[i]) for i in right], pa.int64()), _lists([sets[i] for i in right]),
-                ],
-                names=["class", "n", "shingles"],
-            )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, to, data, offsets in text_pieces(batch, "text"):
+                sets = shingle_sets(data, offsets, size)
+                wanted = zip(batch.column("set_high").slice(row, to - row).to_pylist(),
+                             batch.column("set_low").slice(row, to - row).to_pylist())
+                right = [i for i, (s, w) in enumerate(zip(sets, wanted)) if set_digest(s) == w]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("class").slice(row, to - row).take(pa.array(right, pa.int64())),
+                        pa.array([len(sets[i]) for i in right], pa.int64()), _lists([sets[i] for i in right]),
+                    ],
+                    names=["class", "n", "shingles"],
+                )
+
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -135,26 +153,26 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
-def _possible(n: Column, own: Column, other_n: Column, other_own: Column) -> Column:
+def _possible(percent: int, n: Column, own: Column, other_n: Column, other_own: Column) -> Column:
     """Exact bounds: the union holds one set and what the other has for itself, the overlap leaves own out."""
     return (
-        (100 * F.least(n, other_n) >= LINK_PERCENT * F.greatest(n, other_n))
-        & (100 * (n - own) >= LINK_PERCENT * (n + other_own))
-        & (100 * (other_n - other_own) >= LINK_PERCENT * (other_n + own))
+        (100 * F.least(n, other_n) >= percent * F.greatest(n, other_n))
+        & (100 * (n - own) >= percent * (n + other_own))
+        & (100 * (other_n - other_own) >= percent * (other_n + own))
     )
 
 
-def verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, members: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
     left = members.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     right = members.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
-    link = 100 * common >= LINK_PERCENT * (F.col("n_a") + F.col("n_b") - common)
+    link = 100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)
     return stored(both.filter(link).select("a", "b"))
 
 
-def _pairs_with_pivot(seats: DataFrame) -> DataFrame:
+def _pairs_with_pivot(seats: DataFrame, percent: int) -> DataFrame:
     """seats: key, class, n, own, component. Each member with the pivot of its key, where a link is possible."""
     pivot = seats.groupBy("key").agg(
         F.min(F.struct("own", "class", "n", "component")).alias("p"), F.count(F.lit(1)).alias("size")
@@ -162,21 +180,22 @@ def _pairs_with_pivot(seats: DataFrame) -> DataFrame:
     return (
         seats.join(pivot, "key")
         .filter(F.col("component") != F.col("p.component"))
-        .filter(_possible(F.col("n"), F.col("own"), F.col("p.n"), F.col("p.own")))
+        .filter(_possible(percent, F.col("n"), F.col("own"), F.col("p.n"), F.col("p.own")))
         .select(F.col("class").alias("a"), F.col("p.class").alias("b"))
         .distinct()
     )
 
 
-def linked_classes(docs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFrame:
+def linked_classes(docs: DataFrame, rows: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """node, component over classes with a link to another class."""
+    half = halves_for(percent)
     firsts = rows.join(sets.select(F.col("class").alias("row")), "row", "left_semi")
     halves = firsts.select(F.col("row").alias("class"), F.posexplode("halves").alias("at", "half"))
     shared = stored(halves.groupBy("half").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("half"))
     side = lambda test: F.collect_list(F.when(test, F.col("half")))
     survivors = stored(
         halves.join(shared, "half").groupBy("class")
-        .agg(side(F.col("at") < HALVES).alias("one"), side(F.col("at") >= HALVES).alias("two"))
+        .agg(side(F.col("at") < half).alias("one"), side(F.col("at") >= half).alias("two"))
         .filter((F.size("one") > 0) & (F.size("two") > 0))
     )
 
@@ -184,7 +203,7 @@ def linked_classes(docs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFra
         "class", F.col("doc_id").alias("wanted_id"), "set_high", "set_low"
     )
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    members = stored(map_arrow(texts.select("class", "set_high", "set_low", "text"), _members, MEMBER))
+    members = stored(map_arrow(texts.select("class", "set_high", "set_low", "text"), _members(size), MEMBER))
     if members.count() != survivors.count():  # repeated rows
         members = stored(members.dropDuplicates(["class"]))
 
@@ -196,14 +215,14 @@ def linked_classes(docs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFra
     active = (
         members.select("class", "n").join(alone, "class", "left")
         .withColumn("own", F.coalesce("own", F.lit(0)))
-        .filter(100 * (F.col("n") - F.col("own")) >= LINK_PERCENT * F.col("n"))
+        .filter(100 * (F.col("n") - F.col("own")) >= percent * F.col("n"))
     )
     nodes = stored(survivors.join(active, "class"))
 
     tables = nodes.select("class", "n", "own", F.explode("one").alias("h"), "two").select(
         "class", "n", "own", F.col("class").alias("component"), "h", F.explode("two").alias("g")
     ).withColumn("key", F.xxhash64("h", "g")).drop("h", "g")
-    edges = verified(_pairs_with_pivot(tables), members)
+    edges = verified(_pairs_with_pivot(tables, percent), members, percent)
 
     def seats(edges: DataFrame) -> DataFrame:
         """Members by key of the first collection (each table is inside one), with their component so far; only
@@ -219,13 +238,13 @@ def linked_classes(docs: DataFrame, rows: DataFrame, sets: DataFrame) -> DataFra
 
     open_seats = seats(edges)
     loose = open_seats.filter("component <> main").drop("main", "pivot")
-    edges = edges.union(verified(_pairs_with_pivot(loose), members))
+    edges = edges.union(verified(_pairs_with_pivot(loose, percent), members, percent))
 
-    rest = _pairs_past_pivot(seats(edges), members)
-    return components(edges.union(verified(rest, members)))
+    rest = _pairs_past_pivot(seats(edges), members, percent)
+    return components(edges.union(verified(rest, members, percent)))
 
 
-def _pairs_past_pivot(open_seats: DataFrame, members: DataFrame) -> DataFrame:
+def _pairs_past_pivot(open_seats: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Every pair of different components under one pivot whose sets can be similar enough.
 
     What two sets share lies inside the pivot's set or outside. If they share nothing outside, the overlap is at most
@@ -250,15 +269,15 @@ def _pairs_past_pivot(open_seats: DataFrame, members: DataFrame) -> DataFrame:
     apart = (
         (F.col("component_a") != F.col("component_b"))
         & ((F.col("component_b") == F.col("main")) | (F.col("class_a") < F.col("class_b")))
-        & _possible(F.col("n_a"), F.col("own_a"), F.col("n_b"), F.col("own_b"))
-        & (100 * overlap >= LINK_PERCENT * (F.col("n_a") + F.col("n_b") - overlap))
+        & _possible(percent, F.col("n_a"), F.col("own_a"), F.col("n_b"), F.col("own_b"))
+        & (100 * overlap >= percent * (F.col("n_a") + F.col("n_b") - overlap))
     )
     # Nothing in common outside: n_b is at most so much. Sizes go by steps of 2 %, checked exactly afterwards.
     step = lambda n: F.floor(F.log(n) / 0.02).cast("int")
     most = F.least(
-        F.floor(F.col("inside") * (100 + LINK_PERCENT) / LINK_PERCENT) - F.col("n"), F.floor(F.col("n") * 100 / LINK_PERCENT)
+        F.floor(F.col("inside") * (100 + percent) / percent) - F.col("n"), F.floor(F.col("n") * 100 / percent)
     )
-    least = F.ceil(F.col("n") * LINK_PERCENT / 100)
+    least = F.ceil(F.col("n") * percent / 100)
     x = parted.filter(loose & (most >= least)).withColumn("size", F.explode(F.sequence(step(least), step(most))))
     by_size = side(x, "a", "inside", "pivot", "main", "size").join(
         side(parted.withColumn("size", step(F.col("n"))), "b", "inside", "pivot", "size"), ["pivot", "size"]
@@ -280,20 +299,21 @@ def _pairs_past_pivot(open_seats: DataFrame, members: DataFrame) -> DataFrame:
     return pairs[0].union(pairs[1]).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = LINK_PERCENT) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept.
 
-    A text's set are its distinct 3-word shingles, or all its words as one if it has fewer; null, empty and
+    Texts are linked if their sets have a Jaccard similarity of at least `percent` in a hundred.
+    A text's set are its distinct shingles of `size` words, or all its words as one if it has fewer; null, empty and
     blank texts have none and no links. Repeated rows have equal sets, hence one component. kept: doc_id equals
     component_id (all rows of a repeated doc_id); a component of null doc_ids only has a null id and keeps them.
     Extra columns are ignored.
     """
     # Other columns could have names of ours.
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = stored(map_arrow(docs, _sign, SIGNATURE).withColumn("row", F.monotonically_increasing_id()))
+    rows = stored(map_arrow(docs, _sign(size, halves_for(percent)), SIGNATURE).withColumn("row", F.monotonically_increasing_id()))
     by_set = ["n_shingles", "set_high", "set_low"]
     sets = stored(rows.filter("n_shingles > 0").groupBy(*by_set).agg(F.min("row").alias("class")))
-    linked = linked_classes(docs, rows, sets).withColumnRenamed("node", "class")
+    linked = linked_classes(docs, rows, sets, size, percent).withColumnRenamed("node", "class")
 
     classed = rows.select("row", "doc_id", *by_set).join(sets, by_set, "left")
     placed = stored(
@@ -307,7 +327,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = LINK_PERCENT) -> DataFrame:
     """The rows of `docs` whose document stands for its component, with the columns of `docs`."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept_id"))
+    kept = near_duplicates(docs, size, percent).filter("kept").select(F.col("doc_id").alias("__kept_id"))
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")

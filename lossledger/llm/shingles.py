@@ -19,7 +19,9 @@ PIECE_BYTES = 4 << 20
 STRIPE_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
-WEIGHTS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], dtype=np.uint64)
+WEIGHTS = np.array(
+    [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64
+)
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -76,6 +78,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> list[np.ndarray]:
     """For each text its distinct shingle hashes, ascending; fewer words than `size`: one hash of all of them."""
+    if not 1 <= size <= len(WEIGHTS):
+        raise ValueError(f"shingles have 1 to {len(WEIGHTS)} words")
     words, text = word_hashes(data, offsets)
     n = len(offsets) - 1
     bounds = np.searchsorted(text, np.arange(n + 1))
