@@ -111,11 +111,17 @@ def _slot_table(spark: SparkSession, weights: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(period_schedule(weights), schema)
 
 
-def mixed(docs: DataFrame, weights: dict[str, int], block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """`docs` in the order of the schedule: partitions by ranges of slots, sorted inside. All rows and columns."""
+def laid_out(docs: DataFrame, weights: dict[str, int], block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """`scheduled` in the order of the schedule: partitions by ranges of slots, sorted inside."""
     order = ["mix_slot", "mix_source", "mix_block", "mix_at", "doc_id"]
     parts = shuffle_partitions(docs.sparkSession)
-    laid = scheduled(docs, weights, block_chars)
     if clash := [c for c in docs.columns if c.startswith("mix_")]:
         raise ValueError(f"columns of the schedule's own: {clash}")
-    return laid.repartitionByRange(parts, "mix_slot", "mix_at").sortWithinPartitions(*order).select(*docs.columns)
+    laid = scheduled(docs, weights, block_chars)
+    return laid.repartitionByRange(parts, "mix_slot", "mix_at").sortWithinPartitions(*order)
+
+
+def mixed(docs: DataFrame, weights: dict[str, int], block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """`docs` in the order of the schedule, all rows and columns. A reader of several files may lose that order;
+    what has to last takes the columns of `laid_out`."""
+    return laid_out(docs, weights, block_chars).select(*docs.columns)
