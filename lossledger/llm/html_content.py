@@ -28,6 +28,9 @@ FIT_PAGES = 20_000
 INSET_WEIGHT = -0.001
 #: Elsewhere a run of boilerplate costs no more than this, so that it does not part long texts around it.
 RUN_FLOOR = -8.0
+#: On a page without marked content, a block of so many words under a form or a listed class or id is judged as its
+#: tag says; a shorter one counts as boilerplate, but stays in the text if the region around it wins.
+SHORT_BLOCK = 12
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -55,6 +58,11 @@ _BOILERPLATE_NAMES = set(
     "recommendations widget widgets login signup search skip toolbar".split()
 )
 # Headers are boilerplate of the page, not of the article.
+# Marks, the stronger ones last: forms and names are evidence only, as they also stand around whole pages; tags and
+# roles exclude; and not even an article inside the last ends them.
+NONE, EVIDENCE, EXCLUDED, SHUT = range(4)
+_SHUT, _SHUT_ROLES = {"nav", "footer"}, {"navigation", "contentinfo"}
+_SHUT_NAMES = {"comment", "comments", "disqus", "respond", "replies"}
 _PAGE_ONLY, _PAGE_ONLY_NAMES = {"header"}, {"header", "banner", "masthead"}
 _BOILERPLATE_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu".split())
 
@@ -68,24 +76,38 @@ class Part:
     breaks: bool
     boilerplate: bool
     labelled: bool
+    evidence: bool = False  # boilerplate only if the page marks its content, or by its length
 
 
-def _is_boilerplate(name: str, attributes: str, in_content: bool) -> bool:
+def _mark(name: str, attributes: str, in_content: bool) -> int:
     if name in _CONTENT or name in ("html", "body"):
-        return False
+        return NONE
+    if name in _SHUT:
+        return SHUT
+    found = NONE
     if name in _BOILERPLATE or name in _PAGE_ONLY and not in_content:
-        return True
+        found = EVIDENCE if name == "form" else EXCLUDED
     if "=" not in attributes:
-        return False
+        return found
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), "".join(values).lower()
         if key == "role" and value in _BOILERPLATE_ROLES:
-            return True
+            form = value in ("form", "search")
+            found = max(found, SHUT if value in _SHUT_ROLES else EVIDENCE if form else EXCLUDED)
         if key in ("class", "id"):
             parts = set(_NAME_PART.findall(value))
-            if parts & _BOILERPLATE_NAMES or not in_content and parts & _PAGE_ONLY_NAMES:
-                return True
-    return False
+            if parts & _SHUT_NAMES:
+                found = SHUT
+            elif parts & _BOILERPLATE_NAMES or not in_content and parts & _PAGE_ONLY_NAMES:
+                found = max(found, EVIDENCE)
+    return found
+
+
+def _inside(name: str, attributes: str, mark: int, in_content: bool) -> int:
+    """The mark of an element within one with `mark`. An article ends evidence, and what excludes around the content."""
+    if name in _CONTENT and (mark == EVIDENCE or mark == EXCLUDED and not in_content):
+        return NONE
+    return max(mark, _mark(name, attributes, in_content))
 
 
 def _place(boilerplate: bool, content: bool) -> str:
@@ -94,14 +116,15 @@ def _place(boilerplate: bool, content: bool) -> str:
 
 def parse(page: str) -> Iterator[Part]:
     """Parts of a page in order. Elements left open end where an element around them ends."""
-    stack: list[tuple[str, bool, bool]] = []  # name, in boilerplate, in content
+    stack: list[tuple[str, int, bool]] = []  # name, mark, in content
 
     def text_part(text: str) -> Iterator[Part]:
         if text:
-            _, boilerplate, content = stack[-1] if stack else ("", False, False)
+            _, mark, content = stack[-1] if stack else ("", NONE, False)
+            boilerplate = mark > NONE
             block = next((n for n, _, _ in reversed(stack) if n in _BLOCK or n == "a"), "none")
             kind = f"words:{_place(boilerplate, content) or block}"
-            yield Part(kind, text, False, boilerplate, content and not boilerplate)
+            yield Part(kind, text, False, boilerplate, content and not boilerplate, mark == EVIDENCE and not content)
 
     def close(names: set[str], holders: set[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
@@ -118,7 +141,7 @@ def parse(page: str) -> Iterator[Part]:
         if not m["name"]:
             continue
         name = m["name"].lower()
-        _, boilerplate, content = stack[-1] if stack else ("", False, False)
+        _, mark, content = stack[-1] if stack else ("", NONE, False)
         if m["end"]:
             if name not in _VOID:
                 close({name}, set())
@@ -132,15 +155,17 @@ def parse(page: str) -> Iterator[Part]:
                 close({"p"}, _HOLDERS)
             if name in _CLOSES:
                 close(_CLOSES[name], _HOLDERS - _CLOSES[name])
-            _, boilerplate, content = stack[-1] if stack else ("", False, False)
+            _, mark, content = stack[-1] if stack else ("", NONE, False)
         if not m["end"] and name not in _VOID and not m["attributes"].endswith("/"):
-            boilerplate = boilerplate or _is_boilerplate(name, m["attributes"], content)
+            mark = _inside(name, m["attributes"], mark, content)
             content = content or name in _CONTENT
-            stack.append((name, boilerplate, content))
+            stack.append((name, mark, content))
+        boilerplate = mark > NONE
         known = name if name in _BLOCK or name in ("a", "b", "i", "em", "strong", "span", "br", "img") else "other"
         kind = f"tag:{_place(boilerplate, content) or known}"
         space = "\n" if name in _BLOCK else " " if name == "br" else ""
-        yield Part(kind, space, bool(space.strip(" ")), boilerplate, content and not boilerplate)
+        evidence = mark == EVIDENCE and not content
+        yield Part(kind, space, bool(space.strip(" ")), boilerplate, content and not boilerplate, evidence)
     yield from text_part(page[at:])
 
 
@@ -192,8 +217,27 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return low, high
 
 
+def _weighed(parts: list[Part]) -> list[Part]:
+    """Without marked content, parts under evidence are judged: long blocks as plain words, short ones as boilerplate
+    that is not cut out."""
+    if any(p.labelled for p in parts) or not any(p.evidence for p in parts):
+        return parts
+    made, start = list(parts), 0
+    ends = [i for i, p in enumerate(parts) if p.breaks] + [len(parts)]
+    for end in ends:
+        words = sum(len(p.text.split()) for p in parts[start:end])
+        for i in range(start, min(end + 1, len(parts))):
+            p = parts[i]
+            if p.evidence:
+                long = words >= SHORT_BLOCK
+                kind = p.kind.replace(":boilerplate", ":p") if long or is_tag(p) else p.kind
+                made[i] = Part(kind, p.text, p.breaks, False, False, True)
+        start = end + 1
+    return made
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
-    parts = list(parse(page))
+    parts = _weighed(list(parse(page)))
     # Text runs become readable before they are counted and joined.
     texts = [p.text if is_tag(p) else html.unescape(p.text) for p in parts]
     scores, run = [], 0.0
