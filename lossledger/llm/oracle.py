@@ -65,4 +65,41 @@ SELECT doc_id, mix_source, start // 65536 AS mix_block, (start // 65536) * 1000
 FROM laid JOIN schedule USING (mix_source) WHERE in_period = (start // 65536) % parts
 """
 
-ORACLES = {"op3_chat_formatting": OP3, "op9_exact_dedup": OP9, "op10_mixing": OP10}
+def _vector_codes(rounds: int = 6) -> str:
+    """Every part against every entry of its codebook, round after round."""
+    steps = [
+        """
+WITH whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+), kept AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY vec_id, v) AS r, len(v) // 8 AS width FROM whole
+), parts AS MATERIALIZED (
+  SELECT r, p, v[p * width + 1:(p + 1) * width] AS x FROM kept, range(8) t(p)
+), book0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM parts WHERE r <= 16)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT r, p, x, min(pair) AS best FROM (
+    SELECT a.r, a.p, a.x, [list_sum(list_transform(range(1, len(a.x) + 1), lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i])))::BIGINT, b.e] AS pair
+    FROM parts a JOIN book{k} b ON a.p = b.p) GROUP BY ALL
+)""")
+        if k < rounds:
+            steps.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(n.x, b.x) AS x FROM book{k} b LEFT JOIN (
+    SELECT p, e, list(m ORDER BY i) AS x FROM (
+      SELECT p, best[2] AS e, i, floor(sum(x[i])::DOUBLE / count(*))::BIGINT AS m
+      FROM near{k}, range(1, (SELECT max(len(x)) FROM parts) + 1) t(i) GROUP BY ALL) GROUP BY ALL) n ON n.p = b.p AND n.e = b.e
+)""")
+    return ",\n".join(steps) + f"""
+, codes AS (
+  SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM near{rounds} GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (r), digest
+"""
+
+
+ORACLES = {"op3_chat_formatting": OP3, "op9_exact_dedup": OP9, "op10_mixing": OP10, "op12_vector_codes": _vector_codes()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import chat, exact_dedup, fingerprints, html_content, kneser_ney, license_scan, mixing, near_dedup, secret_scan, sentencepiece_wfst
+from lossledger.llm import chat, exact_dedup, fingerprints, html_content, kneser_ney, license_scan, mixing, near_dedup, secret_scan, sentencepiece_wfst, token_alignment, vector_codes
 from lossledger.llm.common import read_table
 
 # Parts per thousand: src0, the largest source, is held to 23 %.
@@ -104,6 +104,16 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    model_file = sentencepiece_wfst.model_file
+    return token_alignment.scored_alignment(docs, model_file("byte_bpe_50k.json"), model_file("piece_bpe_32k.model"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compressed(read_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_near_dedup": op2_near_dedup,
@@ -115,4 +125,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_vector_codes": op12_vector_codes,
 }

@@ -26,7 +26,7 @@ def db():
 
 
 def test_all_are_registered():
-    names = {f"op{n}" for n in range(1, 11)}
+    names = {f"op{n}" for n in range(1, 14)}
     assert names == {q.split("_")[0] for q in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= set(spark_entry.queries())
 
