@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossledger.llm import chat, exact_dedup, fingerprints, html_content, kneser_ney, license_scan, mixing, near_dedup, secret_scan, sentencepiece_wfst, token_alignment, vector_codes
+from lossledger.llm import chat, exact_dedup, fingerprints, html_content, kneser_ney, license_scan, mixing, near_dedup, personal_data, secret_scan, sentencepiece_wfst, token_alignment, vector_codes
 from lossledger.llm.common import read_table
 
 # Parts per thousand: src0, the largest source, is held to 23 %.
@@ -114,6 +114,12 @@ def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.compressed(read_table(spark, folder, "embeddings"))
 
 
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = personal_data.personal_data(docs, personal_data.fit(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_near_dedup": op2_near_dedup,
@@ -127,4 +133,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_vector_codes": op12_vector_codes,
+    "op13_personal_data": op13_personal_data,
 }
