@@ -31,7 +31,7 @@ def escape_role(role: Column) -> Column:
 
 def unescape_role(role: Column) -> Column:
     """`\\n` is a line feed only where its backslash is not the second half of a doubled one."""
-    halves = F.split(F.replace(role, F.lit("<\\|"), F.lit("<|")), r"\\\\\\\\", -1)
+    halves = F.split(F.replace(role, F.lit("<\\|"), F.lit("<|")), r"\\\\", -1)  # the pattern of two backslashes
     return F.array_join(F.transform(halves, lambda h: F.replace(h, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
@@ -110,6 +110,12 @@ def read_turns(formatted: Column) -> Column:
     return F.flatten(F.transform(inside, turns))
 
 
+def read_trained(formatted: Column) -> Column:
+    """All text that is trained on, read back from the output alone: the assistant's texts in order."""
+    kept = F.filter(read_turns(formatted), lambda t: t["role"] == "assistant")
+    return F.array_join(F.transform(kept, lambda t: t["text"]), "")
+
+
 def read_loss_text(segments: Column) -> Column:
     """All text under the loss mask, unescaped piece by piece."""
     kept = F.filter(segments, lambda s: s["loss"])

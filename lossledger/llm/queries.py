@@ -31,7 +31,7 @@ def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id bigint, turn bigint, role string, text string",
     )
     formatted = chat.format_chats(conversations.unionByName(probe))
-    turns, loss = chat.read_turns(F.col("formatted")), chat.read_loss_text(F.col("segments"))
+    turns, loss = chat.read_turns(F.col("formatted")), chat.read_trained(F.col("formatted"))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return formatted.select("conv_id", "formatted", turns.alias("turns"), loss.alias("loss")).select(
         "conv_id",

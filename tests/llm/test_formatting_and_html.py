@@ -1,6 +1,7 @@
 """Chat formatting (round trips) and HTML extraction (planted boilerplate)."""
 
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +37,23 @@ def test_turns_and_loss_text_come_back(spark):
     assert by_id[3].count(chat.START) == 1 and by_id[3].count(chat.SEPARATOR) == 699
 
 
+def test_any_role_and_text_come_back(spark):
+    draw = random.Random(4)
+    parts = ["\\", "\n", "n", "<|", "|", "<", "<\\|", "a", chat.START, chat.END, chat.SEPARATOR, "assistant"]
+    word = lambda: "".join(draw.choice(parts) for _ in range(draw.randrange(0, 7)))
+    made = [(c, t, draw.choice([word(), "assistant"]), word()) for c in range(150) for t in range(draw.randrange(1, 5))]
+    frame = spark.createDataFrame(made, "conv_id long, turn long, role string, text string")
+    found = chat.format_chats(frame).select(
+        "conv_id", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_trained(F.col("formatted")).alias("trained"),
+        chat.read_loss_text(F.col("segments")).alias("loss"),
+    ).collect()
+    assert len(found) == 150
+    for row in found:
+        wanted = [(r, x) for c, _, r, x in made if c == row["conv_id"]]
+        assert [(t["role"], t["text"]) for t in row["turns"]] == wanted
+        assert row["trained"] == row["loss"] == "".join(x for r, x in wanted if r == "assistant")
+
+
 def test_no_conversations(spark):
     assert chat.format_chats(spark.createDataFrame([], SCHEMA)).count() == 0
 

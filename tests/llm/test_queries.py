@@ -11,7 +11,7 @@ import corpus_pipeline  # noqa: E402
 from lossledger.llm import queries  # noqa: E402
 from lossledger.llm.common import stored  # noqa: E402
 from lossledger.llm.oracle import ORACLES  # noqa: E402
-from tests.llm.test_duplicates import near_expected  # noqa: E402
+from tests.llm.test_stage_near_copies import kept_expected  # noqa: E402
 from tools.check_oracles import TABLES, table_rows, type_differences  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -65,7 +65,7 @@ def test_pipeline_stage_by_stage(spark):
                 expected[t] = max(i, expected.get(t, i))
             assert after == set(expected.values())
         elif name == "near dedup":
-            assert after == {i for i, (_, _, kept) in near_expected(list(before.items())).items() if kept}
+            assert after == kept_expected(list(before.items()), corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT)
         else:
             assert after == set(before)
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SMALL).select("doc_id").collect()) == sorted(before)
