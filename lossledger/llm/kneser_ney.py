@@ -9,22 +9,23 @@ weight of PRIOR symbols, so that a few unusual words in a short text do not deci
 of the trusted ones of their language are rejected: above, text that does not look like trusted text; below, text that
 is too predictable.
 
-Documents are scored by one path at every size: their n-gram counts, keyed by a number of the row, are joined with the
-table by shard (`score_by_join`).
+Documents are scored by one path at every size. One pass counts: rows fall into batches, a batch lists its distinct
+n-grams once, and its rows hold places in that list. The lists are joined with the sharded tables, and what comes back to
+a batch gives the sums of its rows (`score_by_join`). Neither texts nor an n-gram per document are shuffled.
 """
 
 from __future__ import annotations
 
-import math
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lossledger.llm.common import map_arrow, share_package, stored
 
@@ -36,8 +37,8 @@ PRIOR = 200
 LOW_QUANTILE, HIGH_QUANTILE = 0.0005, 0.998
 #: The quantiles' distances from the mean are widened by this: training text is easier for the model than other text.
 MARGIN = 1.25
-COUNT_SYMBOLS = 4_000_000
-BROADCAST_IDS = 5_000_000
+#: Characters that are counted at once, and whose rows share one list of n-grams.
+STEP_SYMBOLS, BATCH_SYMBOLS = 1_000_000, 16_000_000
 
 _PUNCTUATION = ".,'-\":;?!()="
 _LETTER_BUCKETS = 12
@@ -46,6 +47,7 @@ _FIRST_LATIN = 6
 _FIRST_PUNCTUATION = _FIRST_LATIN + 26
 _FIRST_LETTER = _FIRST_PUNCTUATION + len(_PUNCTUATION)
 SYMBOLS = _FIRST_LETTER + _LETTER_BUCKETS
+GRAMS = SYMBOLS**ORDER
 
 
 def symbol_of(code: int) -> int:
@@ -75,50 +77,142 @@ def symbol_table() -> np.ndarray:
     return np.array([MARK if 0xD800 <= c < 0xE000 else symbol_of(c) for c in range(0x110000)], np.uint8)
 
 
-def gram_ids(text: str) -> np.ndarray:
-    """The ORDER-gram ending at each character, as a number; before the text stand START symbols."""
-    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+def gram_ids(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the text and the ORDER-gram ending at each character, as a number, for all texts at once; before each
+    text stand START symbols."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    pad = "\0" * (ORDER - 1)
+    joined = pad + pad.join(texts)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     symbols = symbol_table()[codes].astype(np.int32)
-    padded = np.concatenate([np.full(ORDER - 1, START, np.int32), symbols])
-    ids = np.zeros(len(symbols), np.int32)
+    starts = np.cumsum(sizes + ORDER - 1) - sizes
+    for k in range(1, ORDER):
+        symbols[starts - k] = START
+    ids = np.zeros(max(len(symbols) - ORDER + 1, 0), np.int32)
     for k in range(ORDER):
-        ids = ids * SYMBOLS + padded[k : k + len(symbols)]
-    return ids
-
-
-def _texts(batch: pa.RecordBatch, language: str) -> Iterator[tuple[str, str]]:
-    langs = batch.column(language)
-    for i, text in enumerate(batch.column("text")):
-        yield langs[i].as_py(), text.as_py() or ""
-
+        ids = ids * SYMBOLS + symbols[k : k + len(ids)]
+    doc = np.repeat(np.arange(len(texts)), sizes)
+    at = np.arange(len(doc)) + (ORDER - 1) * doc
+    return doc, ids[at]
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Small numbers in few bytes."""
+    wide = values.astype("<u2" if not len(values) or values.max() < 1 << 16 else "<u4")
+    planes = np.ascontiguousarray(wide.view(np.uint8).reshape(-1, wide.itemsize).T)
+    return bytes([wide.itemsize]) + zlib.compress(planes.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{data[0]}").reshape(-1).astype(np.int64)
+
+
+class _Batch:
+    """Distinct n-grams of the rows of a batch, gathered step by step."""
+
+    def __init__(self):
+        self.rows: list[pa.Array] = []
+        self.doc: list[np.ndarray] = []
+        self.code: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+        self.trusted: list[np.ndarray] = []
+        self.models: dict[str, int] = {}
+        self.count = self.characters = 0
+
+    def add(self, rows: pa.Array, models: list[str], texts: list[str], trusted: np.ndarray) -> None:
+        doc, ids = gram_ids(texts)
+        keys, times = np.unique(doc * GRAMS + ids, return_counts=True)
+        local = np.array([self.models.setdefault(m, len(self.models)) for m in models], np.int64)
+        doc = keys // GRAMS
+        self.rows.append(rows)
+        self.doc.append(doc + self.count)
+        self.code.append(local[doc] * GRAMS + keys % GRAMS)
+        self.times.append(times)
+        self.sizes.append(np.array([len(t) for t in texts], np.int64))
+        self.trusted.append(trusted)
+        self.count += len(texts)
+        self.characters += int(self.sizes[-1].sum())
+
+    def made(self, number: int) -> pa.RecordBatch:
+        """A row per document: places in the batch's list of n-grams, ascending, as steps, and how often each occurs.
+        One more row has the list, with the counts over trusted documents."""
+        doc, times = np.concatenate(self.doc), np.concatenate(self.times)
+        codes, place = np.unique(np.concatenate(self.code), return_inverse=True)
+        order = np.lexsort((place, doc))
+        place, times, doc = place[order], times[order], doc[order]
+        trained = np.bincount(place, times * np.concatenate(self.trusted)[doc], len(codes)).astype(np.int64)
+        ends = np.cumsum(np.bincount(doc, minlength=self.count))
+        steps = np.diff(place, prepend=0)
+        steps[np.concatenate([[0], ends[:-1]])[np.diff(ends, prepend=0) > 0]] = place[np.concatenate([[0], ends[:-1]])[np.diff(ends, prepend=0) > 0]]
+        pieces = list(zip([0, *ends[:-1]], ends))
+        names, n = list(self.models), self.count
+
+        def one(values, kind: pa.DataType) -> pa.Array:
+            return pa.concat_arrays([pa.nulls(n, pa.list_(kind)), pa.array([values], pa.list_(kind))])
+
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(n + 1, number)),
+                pa.concat_arrays([*self.rows, pa.nulls(1, self.rows[0].type)]),
+                pa.concat_arrays([pa.array(np.concatenate(self.sizes)), pa.nulls(1, pa.int64())]),
+                pa.array([*(packed(steps[s:e]) for s, e in pieces), None], pa.binary()),
+                pa.array([*(packed(times[s:e]) for s, e in pieces), None], pa.binary()),
+                one([names[k] for k in codes // GRAMS], pa.string()), one(codes % GRAMS, pa.int64()), one(trained, pa.int64()),
+            ],
+            names=["batch", "row", "symbols", "steps", "times", "models", "grams", "trained"],
+        )
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of n-grams per language, summed over COUNT_SYMBOLS characters at a time."""
-    held: dict[str, list[np.ndarray]] = {}
-    size = 0
 
-    def summed() -> Iterator[pa.RecordBatch]:
-        for lang, pieces in held.items():
-            ids, counts = np.unique(np.concatenate(pieces), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(ids), pa.string()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())],
-                names=["model", "gram", "count"],
-            )
+def _pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
 
+    number, held = TaskContext.get().partitionId() << 24, _Batch()
     for batch in batches:
-        for lang, text in _texts(batch, "model"):
-            held.setdefault(lang, []).append(gram_ids(text))
-            size += len(text)
-            if size >= COUNT_SYMBOLS:
-                yield from summed()
-                held, size = {}, 0
-    yield from summed()
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        models = batch.column("model").to_pylist()
+        trusted = batch.column("trusted").to_numpy(zero_copy_only=False)
+        start = 0
+        while start < len(texts):
+            stop, size = start, 0
+            while stop < len(texts) and (stop == start or size + len(texts[stop]) <= STEP_SYMBOLS):
+                size += len(texts[stop])
+                stop += 1
+            if held.count and held.characters + size > BATCH_SYMBOLS:
+                yield held.made(number)
+                number, held = number + 1, _Batch()
+            held.add(batch.column("row").slice(start, stop - start), models[start:stop], texts[start:stop], trusted[start:stop])
+            start = stop
+    if held.count:
+        yield held.made(number)
+
+
+def counted(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """One pass over `docs` (text, model, trusted and `columns`), stored: per row its n-grams as places in its batch's
+    list, and per batch that list. No text is stored; `columns` travel as a struct, so they may have any name."""
+    rows = docs.select(F.struct(*columns).alias("row"), "text", "model", "trusted")
+    schema = T.StructType([
+        T.StructField("batch", T.LongType()), rows.schema["row"], T.StructField("symbols", T.LongType()),
+        T.StructField("steps", T.BinaryType()), T.StructField("times", T.BinaryType()),
+        T.StructField("models", T.ArrayType(T.StringType())), T.StructField("grams", T.ArrayType(T.LongType())),
+        T.StructField("trained", T.ArrayType(T.LongType())),
+    ])
+    schema["row"].nullable = True
+    return stored(map_arrow(rows, _pass, schema))
+
+
+def batch_grams(passed: DataFrame) -> DataFrame:
+    """(batch, place, model, gram, trained): each n-gram of a batch once for each model."""
+    lists = F.posexplode(F.arrays_zip("models", "grams", "trained")).alias("place", "g")
+    return passed.filter("grams is not null").select("batch", lists).select(
+        "batch", "place", F.col("g.models").alias("model"), F.col("g.grams").alias("gram"), F.col("g.trained").alias("trained")
+    )
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """model, text -> model, gram, count, summed inside tasks before the shuffle."""
-    counted = map_arrow(texts.select("model", "text"), _count, "model string, gram bigint, count bigint")
-    return counted.groupBy("model", "gram").agg(F.sum("count").alias("count"))
+def gram_counts(passed: DataFrame) -> DataFrame:
+    """(model, gram, count) over trusted rows; batches have summed theirs before the shuffle."""
+    return batch_grams(passed).filter("trained > 0").groupBy("model", "gram").agg(F.sum("trained").alias("count"))
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
@@ -194,98 +288,9 @@ def probabilities(counts: DataFrame) -> DataFrame:
     return stored(rows.unionByName(uniform))
 
 
-def dense_table(rows: dict[str, np.ndarray]) -> np.ndarray:
-    """p of every ORDER-gram of one model, from its probability rows."""
-    below = np.full(1, 1.0 / SYMBOLS, np.float32)
-    for size in range(1, ORDER + 1):
-        weights = np.ones(SYMBOLS ** (size - 1), np.float32)
-        contexts = (rows["size"] == size - 1) & ~np.isnan(rows["backoff"])
-        weights[rows["gram"][contexts]] = rows["backoff"][contexts]
-        # An n-gram's suffix is its number without the first symbol.
-        p = np.repeat(weights, SYMBOLS)
-        p *= np.tile(below, SYMBOLS)
-        seen = (rows["size"] == size) & ~np.isnan(rows["p"])
-        p[rows["gram"][seen]] = rows["p"][seen]
-        below = p
-    return below
-
-
-class Scorer:
-    """Sums -log p over documents, p being the mean of the language's and the pooled model's, so that a quotation in
-    another language does not condemn a text. The dense table of a model is made where it is first needed."""
-
-    def __init__(self, models: dict[str, dict[str, np.ndarray]]):
-        self.models = models
-        self.dense: dict[str, np.ndarray] = {}
-
-    def __getstate__(self):
-        return {"models": self.models, "dense": {}}
-
-    def loss(self, model: str, text: str) -> float:
-        if model not in self.dense:
-            tables = [dense_table(self.models[m]) for m in dict.fromkeys((model, POOLED)) if m in self.models]
-            p = tables[0] if len(tables) == 1 else (tables[0] + tables[1]) / 2
-            self.dense[model] = -np.log(p)
-        return float(self.dense[model][gram_ids(text)].sum(dtype=np.float64))
-
-
-def collected(table: DataFrame) -> Scorer:
-    """The counted, bounded table as columns of numbers by model; Arrow keeps it compact on its way."""
-    found = table.toArrow()
-    names = found.column("model").to_numpy()
-    columns = {
-        "size": found.column("size").to_numpy().astype(np.int8), "gram": found.column("gram").to_numpy(),
-        "p": found.column("p").to_numpy(), "backoff": found.column("backoff").to_numpy(),
-    }
-    return Scorer({m: {k: v[names == m] for k, v in columns.items()} for m in np.unique(names.astype(str))})
-
-
-def score_in_place(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """Add loss (sum of -log p) and symbols to `docs`, which has text and model, from a table small enough to collect.
-
-    The operator does not use it: what tests hold `score_by_join` against.
-    """
-    share_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(collected(table))
-
-    @F.pandas_udf("loss double, symbols bigint")
-    def score(model: pd.Series, text: pd.Series) -> pd.DataFrame:
-        scorer = shared.value
-        texts = ["" if t is None else t for t in text]
-        return pd.DataFrame({
-            "loss": [scorer.loss(m, t) for m, t in zip(model, texts)], "symbols": [len(t) for t in texts],
-        })
-
-    scored = docs.withColumn("__score", score("model", "text"))
-    return scored.withColumns({"loss": F.col("__score.loss"), "symbols": F.col("__score.symbols")}).drop("__score")
-
-
-def score_by_join(docs: DataFrame, table: DataFrame, shares: DataFrame | None = None) -> DataFrame:
-    """Add loss (sum of -log p) and symbols to `docs`, by joins of each row's n-gram counts with the sharded table.
-
-    A seen n-gram takes its p; otherwise its context's weight times the next lower order, down to the uniform one.
-    `shares` (model, share) says how much of p is the row's own model's, the rest being the pooled one's; without it
-    half. A model that the table does not have leaves all to the pooled one. Rows have a number of their own, so
-    nothing is asked of other columns.
-    """
-    keyed = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
-
-    def count_per_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers = batch.column("row").to_numpy()
-            for i, (model, text) in enumerate(_texts(batch, "model")):
-                ids, counts = np.unique(gram_ids(text), return_counts=True)
-                n = len(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, numbers[i], np.int64)), pa.array([model] * n, pa.string()),
-                     pa.array(ids, pa.int64()), pa.array(counts, pa.int64())],
-                    names=["row", "model", "gram", "count"],
-                )
-
-    schema = "row bigint, model string, gram bigint, count bigint"
-    grams = map_arrow(keyed.select(F.col("__row").alias("row"), "model", "text"), count_per_row, schema)
-    # Log probability of each distinct n-gram first: grams repeat over documents.
-    own = stored(grams.select("model", "gram").distinct())
+def losses_of_grams(wanted: DataFrame, table: DataFrame, shares: DataFrame | None) -> DataFrame:
+    """(model, gram, nll) for the distinct (model, gram) of `wanted`, by joins with the sharded table, order by order."""
+    own = stored(wanted.select("model", "gram").distinct())
     wanted = own.union(own.select(F.lit(POOLED).alias("model"), "gram")).distinct()
     rows = wanted.withColumn("part", F.col("gram")).withColumn("found", F.lit(None).cast("double")).withColumn("weight", F.lit(1.0))
     for size in range(ORDER, -1, -1):
@@ -312,11 +317,33 @@ def score_by_join(docs: DataFrame, table: DataFrame, shares: DataFrame | None =
         rows = rows.join(shares, "model", "left")
     share = F.when(F.col("found").isNull(), 0.0).otherwise(F.coalesce("share", F.lit(0.0)))
     p = share * F.coalesce("found", F.lit(0.0)) + (1 - share) * F.col("pooled")
-    losses = rows.join(pooled, "gram").select("model", "gram", (-F.log(p)).alias("nll"))
-    sums = grams.join(losses, ["model", "gram"]).groupBy("row").agg(
-        F.sum(F.col("count") * F.col("nll")).alias("loss"), F.sum("count").alias("symbols")
-    ).withColumnRenamed("row", "__row")
-    return keyed.join(sums, "__row", "left").drop("__row").fillna({"loss": 0.0, "symbols": 0})
+    return rows.join(pooled, "gram").select("model", "gram", (-F.log(p)).alias("nll"))
+
+
+def _sum_batch(docs: pa.Table, found: pa.Table) -> pa.Table:
+    nll = np.zeros(len(found))
+    nll[found.column("place").to_numpy()] = found.column("nll").to_numpy()
+    sums = [
+        float((nll[np.cumsum(unpacked(steps))] * unpacked(times)).sum())
+        for steps, times in zip(docs.column("steps").to_pylist(), docs.column("times").to_pylist())
+    ]
+    return pa.table({"row": docs.column("row"), "symbols": docs.column("symbols"), "loss": pa.array(sums, pa.float64())})
+
+
+def score_by_join(passed: DataFrame, table: DataFrame, shares: DataFrame | None = None) -> DataFrame:
+    """row, symbols and loss (sum of -log p) for each row of `counted`.
+
+    Batches ask for their own n-grams and get log probabilities back, so that a frequent n-gram is asked for once by a
+    batch and not by every document. A seen n-gram takes its p; otherwise its context's weight times the next lower
+    order, down to the uniform one. `shares` (model, share) says how much of p is the row's own model's, the rest being
+    the pooled one's; without it half. A model that the table does not have leaves all to the pooled one.
+    """
+    share_package(passed.sparkSession)
+    grams = batch_grams(passed).select(F.col("batch").alias("asking"), "place", "model", "gram")
+    found = grams.join(losses_of_grams(grams, table, shares), ["model", "gram"]).select("asking", "place", "nll")
+    rows = passed.filter("grams is null").select("batch", "row", "symbols", "steps", "times")
+    schema = T.StructType([passed.schema["row"], T.StructField("symbols", T.LongType()), T.StructField("loss", T.DoubleType())])
+    return rows.groupBy("batch").cogroup(found.groupBy("asking")).applyInArrow(_sum_batch, schema)
 
 
 class QualityModel:
@@ -326,15 +353,17 @@ class QualityModel:
                  pooled: tuple[float, float, float] | None = None):
         self.table, self.shares, self.limits, self.pooled = table, shares, limits, pooled
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """Add model, loss, symbols, perplexity, low, high, rejected to `docs`."""
-        return self.with_decision(self.losses(docs))
-
-    def losses(self, docs: DataFrame) -> DataFrame:
-        return score_by_join(docs.withColumn("model", model_of(F.col("lang"))), self.table, self.shares)
+    def score(self, docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+        """`columns` of `docs` (all of them, if not named) with model, loss, symbols, perplexity, low, high, rejected."""
+        columns = columns or docs.columns
+        passed = counted(docs.withColumns({"model": model_of(F.col("lang")), "trusted": F.lit(False)}), [*columns, "lang"] if "lang" not in columns else columns)
+        return self.with_decision(score_by_join(passed, self.table, self.shares)).select(
+            *(F.col("row")[c].alias(c) for c in columns), *(c for c in DECIDED if c not in columns)
+        )
 
     def with_decision(self, scored: DataFrame) -> DataFrame:
         """Logarithms of limits are the languages' and the pooled ones by the smooth share; others take the pooled."""
+        scored = scored.withColumn("model", model_of(F.col("row")["lang"]))
         if self.limits is None or self.pooled is None:
             none = F.lit(None).cast("double")
             return scored.withColumns({"perplexity": none, "low": none, "high": none, "rejected": F.lit(False)})
@@ -346,8 +375,26 @@ class QualityModel:
 
     def keep(self, docs: DataFrame) -> DataFrame:
         """The rows that are not rejected, with the columns of `docs`. Other columns may have any name."""
-        inner = docs.select(F.struct(*docs.columns).alias("row"), "text", "lang")
-        return self.score(inner).filter(~F.col("rejected")).select("row.*")
+        inner = _with_digest(docs)
+        scored = self.score(inner.select("lang", "text", "digest"), ["lang", "digest"])
+        return _without_rejected(inner, scored)
+
+
+#: What a decision adds to a row.
+DECIDED = ("model", "symbols", "loss", "perplexity", "low", "high", "rejected")
+
+
+def _with_digest(docs: DataFrame) -> DataFrame:
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    return docs.select(F.struct(*docs.columns).alias("row"), "text", "lang", digest.alias("digest"))
+
+
+def _without_rejected(inner: DataFrame, scored: DataFrame) -> DataFrame:
+    """A decision depends on language and text alone, so a digest of these leads back to the rows: what was rejected is
+    a table of digests, and rows need no number that would have to survive repeated work."""
+    gone = scored.filter("rejected").select(F.coalesce("lang", F.lit("")).alias("of"), "digest").distinct()
+    rows = inner.withColumn("of", F.coalesce("lang", F.lit("")))
+    return rows.join(gone, ["of", "digest"], "left_anti").select("row.*")
 
 
 def model_of(lang: Column) -> Column:
@@ -364,49 +411,43 @@ def _pulled(mean: Column) -> Column:
     return (F.col("loss") + PRIOR * mean) / (F.col("symbols") + PRIOR)
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that `labels` names as good. Their ids are broadcast up to BROADCAST_IDS (counted first)."""
-    good = labels.filter("quality = 1").select(F.col("doc_id").alias("__good")).distinct()
-    if good.count() <= BROADCAST_IDS:
-        good = F.broadcast(good)
-    return docs.select("doc_id", "text", "lang").join(good, F.col("doc_id") == F.col("__good"), "left_semi")
-
+def with_trust(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`docs` with trusted: whether `labels` names the doc_id as good. Spark broadcasts the ids where they are few."""
+    good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("__good")).distinct()
+    marked = docs.join(good, docs["doc_id"] == F.col("__good"), "left")
+    return marked.withColumn("trusted", F.col("__good").isNotNull()).drop("__good")
 
-def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
-    """Train on all trusted documents, then take means and quantiles over all of them.
 
-    Every language with trusted text has a model, a mean and quantiles of its own. The fewer trusted documents it has,
-    the more it goes by the pooled ones (`own_share`); a null language and those without trusted text go by them alone.
-    Without trusted documents nothing is rejected. Null texts count as empty.
-    """
-    trusted = trusted_texts(docs, labels)
-    own = trusted.withColumn("model", model_of(F.col("lang")))
-    # Each text is counted once for its model; the pooled counts are sums over the models.
-    by_model = stored(gram_counts(own))
+def _estimated(passed: DataFrame, sizes: DataFrame) -> QualityModel:
+    """Probabilities and shares from the trusted rows of a pass; `sizes` has n trusted documents per model."""
+    by_model = stored(gram_counts(passed))
     pooled_counts = by_model.groupBy(F.lit(POOLED).alias("model"), "gram").agg(F.sum("count").alias("count"))
     table = probabilities(stored(by_model.filter(F.col("model") != POOLED).unionByName(pooled_counts)))
-    sizes = own.groupBy("model").agg(F.count(F.lit(1)).alias("n")).filter(F.col("model") != POOLED)
-    shares = stored(sizes.select("model", (own_share(F.col("n")) / 2).alias("share"), own_share(F.col("n")).alias("own")))
+    shares = stored(sizes.filter(F.col("model") != POOLED).select(
+        "model", (own_share(F.col("n")) / 2).alias("share"), own_share(F.col("n")).alias("own")
+    ))
+    return QualityModel(table, shares)
+
 
-    model = QualityModel(table, shares.select("model", "share"))
-    scored = stored(model.losses(trusted).select("model", "loss", "symbols"))
+def _limit(model: QualityModel, trusted: DataFrame) -> QualityModel:
+    """Means and quantiles over all trusted rows (model, loss, symbols)."""
     mean = F.sum("loss") / F.greatest(F.sum("symbols"), F.lit(1))
     widened = [  # logarithms
         (F.col("mean") + MARGIN * (F.log(F.col("q")[k]) - F.col("mean"))).alias(name) for k, name in enumerate(("low", "high"))
     ]
     quantiles = F.percentile_approx(F.exp(_pulled(F.col("mean"))), [LOW_QUANTILE, HIGH_QUANTILE], 1_000_000)
     # The pooled limits are over all trusted documents, each scored by the models that it would get.
-    center = scored.agg(mean.alias("mean")).first()["mean"]
+    center = trusted.agg(mean.alias("mean")).first()["mean"]
     if center is None:
         return model
     pooled = (
-        scored.withColumn("mean", F.lit(center)).groupBy("mean").agg(quantiles.alias("q")).select("mean", *widened).first()
+        trusted.withColumn("mean", F.lit(center)).groupBy("mean").agg(quantiles.alias("q")).select("mean", *widened).first()
     )
     smooth = lambda c, k: F.col("own") * F.col(c) + (1 - F.col("own")) * F.lit(pooled[k])
     means = stored(
-        scored.groupBy("model").agg(mean.alias("mean")).join(shares, "model").select("model", "own", smooth("mean", 0).alias("mean"))
+        trusted.groupBy("model").agg(mean.alias("mean")).join(model.shares, "model").select("model", "own", smooth("mean", 0).alias("mean"))
     )
-    limits = scored.join(means, "model").groupBy("model", "own", "mean").agg(quantiles.alias("q")).select(
+    limits = trusted.join(means, "model").groupBy("model", "own", "mean").agg(quantiles.alias("q")).select(
         "model", "own", "mean", *widened
     )
     model.pooled = tuple(pooled)
@@ -414,3 +455,46 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
         "model", F.col("mean").alias("__mean"), smooth("low", 1).alias("__low"), smooth("high", 2).alias("__high")
     ))
     return model
+
+
+def fit_and_score(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tuple[QualityModel, DataFrame]:
+    """The model of `docs` and `labels`, and `columns` of all rows of `docs` with their decision, from one pass over the
+    texts: the trusted rows' counts make the model, and all rows are scored once.
+
+    Every language with trusted text has a model, a mean and quantiles of its own. The fewer trusted documents it has,
+    the more it goes by the pooled ones (`own_share`); a null language and those without trusted text go by them alone.
+    Without trusted documents nothing is rejected. Null and empty texts have no symbols and are never rejected by
+    themselves; repeated rows each have a row; a very long text is counted whole, in memory that grows with it.
+    """
+    needed = list(dict.fromkeys([*columns, "lang"]))
+    marked = with_trust(docs, labels).withColumn("model", model_of(F.col("lang")))
+    named = marked.withColumn("carried", F.struct(*needed))
+    passed = counted(named.select(F.col("carried.*"), "text", "model", "trusted", F.col("trusted").alias(TRUST)), [*needed, TRUST]) if not (
+        {"text", "model", "trusted"} & set(needed)
+    ) else None
+    if passed is None:
+        raise ValueError("text, model and trusted are no columns to carry")
+    trusted = passed.filter("grams is null").filter(F.col("row")[TRUST])
+    sizes = trusted.groupBy(model_of(F.col("row.lang")).alias("model")).agg(F.count(F.lit(1)).alias("n"))
+    model = _estimated(passed, sizes)
+    scored = stored(score_by_join(passed, model.table, model.shares))
+    good = scored.filter(F.col("row")[TRUST]).select(model_of(F.col("row.lang")).alias("model"), "loss", "symbols")
+    decided = _limit(model, good).with_decision(scored)
+    return model, decided.select(*(F.col("row")[c].alias(c) for c in columns), *(c for c in DECIDED if c not in columns))
+
+
+#: Name of the mark in the rows of a pass.
+TRUST = "__trusted"
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """The model alone, from the trusted rows of `docs`."""
+    trusted = with_trust(docs.select("doc_id", "text", "lang"), labels).filter("trusted")
+    return fit_and_score(trusted.drop("trusted"), labels, ["doc_id"])[0]
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs` that the model of its own trusted rows does not reject, with the columns of `docs`."""
+    inner = _with_digest(docs).withColumn("doc_id", F.col("row")["doc_id"])
+    scored = fit_and_score(inner.select("doc_id", "lang", "text", "digest"), labels, ["lang", "digest"])[1]
+    return _without_rejected(inner.drop("doc_id"), scored)

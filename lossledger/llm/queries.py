@@ -78,8 +78,8 @@ def op5_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
-    model = kneser_ney.fit(docs, read_table(spark, folder, "labels"))
-    return model.score(docs).select(
+    _, scored = kneser_ney.fit_and_score(docs, read_table(spark, folder, "labels"), ["doc_id", "lang"])
+    return scored.select(
         "doc_id", "lang", "symbols", F.round("perplexity", 6).alias("perplexity"), "low", "high", "rejected"
     )
 

@@ -54,21 +54,22 @@ def grams_of(text):
     return [symbols[i : i + kn.ORDER] for i in range(len(text))]
 
 
-def test_probabilities_and_both_ways_of_scoring_equal_the_definition(spark):
+def test_probabilities_and_scores_equal_the_definition(spark):
     draw = random.Random(3)
     texts = ["".join(draw.choice("abc .") for _ in range(draw.randrange(1, 60))) for _ in range(40)] + ["Über 12!", ""]
     others = [t[::-1] for t in texts[:20]] + ["zz €"]
     trained = spark.createDataFrame([("m", t) for t in texts] + [("*", t) for t in others], "model string, text string")
-    table = kn.probabilities(kn.gram_counts(trained))
+    counted = kn.counted(trained.withColumns({"trusted": F.lit(True), "lang": F.lit("x")}), ["lang"])
+    table = kn.probabilities(kn.gram_counts(counted))
     unseen = texts[:6] + ["zzz €", "", None, "a\nb", "ABC abc"]
     docs = spark.createDataFrame([(i, "m", t, 5) for i, t in enumerate(unseen)], "doc_id long, model string, text string, lost int")
     p, pooled = plain_model(texts), plain_model(others)
     expected = {i: -sum(math.log((p(g) + pooled(g)) / 2) for g in grams_of(t or "")) for i, t in enumerate(unseen)}
-    for score in (kn.score_in_place, kn.score_by_join):
-        rows = score(docs, table).collect()
-        assert {r["doc_id"]: r["symbols"] for r in rows} == {i: len(t or "") for i, t in enumerate(unseen)}
-        for r in rows:
-            assert r["loss"] == pytest.approx(expected[r["doc_id"]], rel=1e-5), (score.__name__, r)
+    passed = kn.counted(docs.withColumn("trusted", F.lit(False)), ["doc_id", "lost"])
+    rows = kn.score_by_join(passed, table).select("row.*", "symbols", "loss").collect()
+    assert {r["doc_id"]: r["symbols"] for r in rows} == {i: len(t or "") for i, t in enumerate(unseen)}
+    for r in rows:
+        assert r["loss"] == pytest.approx(expected[r["doc_id"]], rel=1e-9), r
     # Probabilities after any context sum to one.
     for context in [(kn.START,) * 3, (6, 7, 8), (40, 40, 40)]:
         assert sum(p(context + (s,)) for s in range(kn.SYMBOLS)) == pytest.approx(1.0)
