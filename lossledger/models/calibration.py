@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lossledger.models import isotonic, sigmoid
 from lossledger.models.preprocessing import SCALED, fit_preprocessor, typed_features
 from lossledger.models.training import PD_SPEC, estimators, prepare, with_label
 from lossledger.operators import metrics, splitting
@@ -29,38 +27,15 @@ class CalibrationResult:
 
 
 def fit_sigmoid(valid: DataFrame, margin: str = "margin", label: str = "label"):
-    """Logistic curve over the margin with smoothed targets.
-
-    A smoothed target t is a positive row of weight t and a negative one of weight 1 - t.
-    """
-    counts = valid.agg(F.sum(label).alias("pos"), F.sum(1 - F.col(label)).alias("neg")).first()
-    target = F.when(F.col(label) == 1, (counts["pos"] + 1) / (counts["pos"] + 2)).otherwise(1 / (counts["neg"] + 2))
-    weighted = valid.select(
-        margin,
-        F.inline(
-            F.array(
-                F.struct(F.lit(1.0).alias("y"), target.alias("w")),
-                F.struct(F.lit(0.0).alias("y"), (1 - target).alias("w")),
-            )
-        ),
-    )
-    assembled = VectorAssembler(inputCols=[margin], outputCol="x").transform(weighted)
-    model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="w", maxIter=200, tol=1e-10).fit(assembled)
-    slope, intercept = float(model.coefficients[0]), float(model.intercept)
-    return lambda rows: rows.withColumn("calibrated", 1 / (1 + F.exp(-(slope * F.col(margin) + intercept))))
+    """Logistic curve over the margin with smoothed targets."""
+    curve = sigmoid.fit(valid, margin, label)
+    return lambda rows: rows.withColumn("calibrated", curve.calibrated(F.col(margin)))
 
 
 def fit_isotonic(valid: DataFrame, margin: str = "margin", label: str = "label"):
-    """Rising steps over the margin.
-
-    Rows of one margin get one value anyway, so they become one row with their mean and weight before the fit, which
-    pools its blocks on the driver: at most a block per distinct margin of the validation split.
-    """
-    distinct = valid.groupBy(margin).agg(F.avg(label).alias(label), F.count(F.lit(1)).cast("double").alias("weight"))
-    model = IsotonicRegression(
-        featuresCol=margin, labelCol=label, weightCol="weight", predictionCol="calibrated"
-    ).fit(distinct)
-    return model.transform
+    """Rising steps over the margin."""
+    steps = isotonic.fit(valid, margin, label)
+    return lambda rows: isotonic.calibrated(rows, steps, margin)
 
 
 FITTERS = {"sigmoid": fit_sigmoid, "isotonic": fit_isotonic}

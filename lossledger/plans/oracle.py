@@ -7,6 +7,7 @@ where the Spark side uses aggregates and range partitions.
 
 from __future__ import annotations
 
+from lossledger.plans.oracle_fits import fits
 from lossledger.plans.oracle_values import (
     AVERAGE_CHECKS,
     BAD_ROW_CHECKS,
@@ -1012,7 +1013,7 @@ PREPARATION = {
     ),
 }
 
-CTES = {**RAW, **MARTS, **IMPAIRMENT, **VALIDATION, **PREPARATION}
+CTES = {**RAW, **MARTS, **IMPAIRMENT, **VALIDATION, **PREPARATION, **fits(_binary_metrics_sql)}
 
 
 def oracle_query(step: str, digits: dict[str, int]) -> str:
