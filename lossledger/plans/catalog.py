@@ -487,15 +487,15 @@ QUERIES: dict[str, Query] = {
         lambda f: model_checks.category_positions(marts.pd_sample(f.mart), training.PD_SPEC), "category_positions"
     ),
     "pd_model_checks": Query(
-        lambda f: model_checks.model_checks(marts.pd_sample(f.mart), training.PD_SPEC, True), "pd_model_checks",
+        lambda f: model_checks.model_checks(marts.pd_sample(f.mart), training.PD_SPEC), "pd_model_checks",
         _digits(6, "actual"),
     ),
     "lgd_model_checks": Query(
-        lambda f: model_checks.model_checks(samples(f)["lgd"], training.LGD_SPEC, False), "lgd_model_checks",
+        lambda f: model_checks.model_checks(samples(f)["lgd"], training.LGD_SPEC), "lgd_model_checks",
         _digits(6, "actual"),
     ),
     "ccf_model_checks": Query(
-        lambda f: model_checks.model_checks(samples(f)["ccf"], training.CCF_SPEC, True), "ccf_model_checks",
+        lambda f: model_checks.model_checks(samples(f)["ccf"], training.CCF_SPEC), "ccf_model_checks",
         _digits(6, "actual"),
     ),
     # Split, metrics, bins.

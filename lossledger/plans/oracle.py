@@ -962,9 +962,13 @@ def _filled(c: str) -> str:
 def _checks_sql(split: str, target: str, baseline: str, models: list[str], settled: list[str]) -> str:
     names = ", ".join(f"('{m}')" for m in [baseline, *models])
     zero = ", ".join(f"'{m}'" for m in [baseline, *settled])
+    free = f"'{baseline}'" + (", 'random_forest'" if settled else "")
     return f"""
         SELECT model, split, count(*) AS rows, count(*) AS bounded, avg({target}) AS actual,
-               CASE WHEN split = 'train' AND model IN ({zero}) THEN 0::DOUBLE END AS train_gap
+               CASE WHEN split = 'train' AND model IN ({zero}) THEN 0::DOUBLE END AS train_gap,
+               CASE WHEN split = 'train' AND model NOT IN ({free}) THEN true END AS better,
+               CASE WHEN split = 'oot' AND model <> '{baseline}' THEN count(*) END AS reloaded,
+               CASE WHEN split = 'oot' AND model IN ('random_forest', 'boosted_trees') THEN count(*) END AS walked
         FROM {split}, (VALUES {names}) AS m(model) GROUP BY model, split"""
 
 
@@ -1007,7 +1011,7 @@ PREPARATION = {
         "pd_sample_split", "target_default_12m", "dummy_prior",
         ["logistic_regression", "random_forest", "boosted_trees"], ["logistic_regression"],
     ),
-    "lgd_model_checks": _checks_sql("lgd_split", "realized_lgd", "dummy_mean", ["ridge", "random_forest"], []),
+    "lgd_model_checks": _checks_sql("lgd_split", "realized_lgd", "dummy_mean", ["ridge", "random_forest", "boosted_trees"], []),
     "ccf_model_checks": _checks_sql(
         "ccf_split", "realized_ccf", "dummy_mean", ["ridge", "random_forest", "boosted_trees"], []
     ),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,26 @@ def configured_dir(spark: SparkSession) -> str | None:
     )
 
 
+def work_dir(spark: SparkSession) -> str:
+    """A folder that all executors share: the configured one. A session inside one process may do without; it gets one
+    of its own then, as all its executors are there."""
+    folder = configured_dir(spark)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lossledger-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path under `work_dir` that nobody uses; it goes when the application ends."""
+    path = f"{work_dir(spark)}/lossledger/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """`df` computed once, where several jobs read the same rows.
 
