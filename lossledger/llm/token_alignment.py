@@ -14,6 +14,8 @@ pairs of batches instead of pairs of documents. A frequent pair has a row per ba
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -82,14 +84,55 @@ class Tokenizers:
         ])
         if self.b.get_piece_size() > B_IDS:
             raise ValueError("too many pieces")
+        self.ranked = _ranked(file_a, letters)
+
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids of A. Texts in alphabets whose character classes are the same in all Unicode versions go through the
+        ranks of the file, where it has such; others through the library that the file is made for."""
+        ids: list[list[int]] = [[]] * len(texts)
+        rest = []
+        for k, text in enumerate(texts):
+            if self.ranked is not None and not _UNSETTLED.search(text):
+                ids[k] = self.ranked.encode_ordinary(text)
+            else:
+                rest.append(k)
+        for k, found in zip(rest, self.a.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)):
+            ids[k] = found.ids
+        return ids
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        found = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        a = [np.array(e.ids, np.int64) for e in found]
+        a = [np.array(ids, np.int64) for ids in self.encode_a([" " + t for t in texts])]
         b = [np.array(ids, np.int64) for ids in self.b.encode(texts, num_threads=1)]
         return a, b
 
 
+#: Fixed value: the published pattern by which byte-level BPE splits a text before merging.
+SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Latin, Greek and Cyrillic characters of the first Unicode versions, and what surrounds them.
+_UNSETTLED = re.compile("[^\x00-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u045f]")
+
+
+def _ranked(file_a: str, letters: dict[str, int]):
+    """The vocabulary of a byte-level BPE file as ranks, if a merge's place in the list is that of its id; else None."""
+    import tiktoken
+
+    with open(file_a, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type") == "BPE" and not spec.get("normalizer") and not model.get("ignore_merges") and not model.get("dropout")
+        and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    )
+    if not plain:
+        return None
+    merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    vocabulary = model["vocab"]
+    if any(vocabulary.get(m) != 256 + k for k, m in enumerate(merges)):
+        return None
+    own = {bytes(letters[c] for c in t): i for t, i in vocabulary.items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=own, special_tokens={})
+
+
 @lru_cache(maxsize=2)
 def tokenizers_of(file_a: str, file_b: str) -> Tokenizers:
     return Tokenizers(file_a, file_b)

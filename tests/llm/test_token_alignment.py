@@ -77,6 +77,17 @@ def test_equals_brute_force(spark):
     assert by_id[2] == by_id[3] == by_id[9] == NONE and by_id[0] == by_id[12] and by_id[8][0] > 0
 
 
+def test_ids_equal_the_library():
+    tokenizers = ta.tokenizers_of(*FILES)
+    assert tokenizers.ranked is not None
+    rng = np.random.default_rng(11)
+    parts = ["the", " of", "ing", "'s", "'ll", "  ", "\n", "\t", "\u00a0", "é", "ß", "Ж", "ñ", "12", "7", "!", "...", "$", "<|endoftext|>", "日", "🙂", "\u0085", "´", "x" * 300]
+    texts = ["".join(rng.choice(parts, rng.integers(1, 30))) for _ in range(3000)]
+    rows = [t for t in TEXTS if t] + texts
+    library = [e.ids for e in tokenizers.a.encode_batch([" " + t for t in rows], add_special_tokens=False)]
+    assert tokenizers.encode_a([" " + t for t in rows]) == library
+
+
 def test_repeated_rows_text_ids_and_no_rows(spark):
     rows = [("a", "one two"), ("a", "one two"), (None, "one three"), (None, None)]
     assert ran(spark, rows, "string") == sorted(brute(rows), key=repr)
