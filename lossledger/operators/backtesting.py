@@ -16,7 +16,7 @@ from lossledger.functions.credit import (
     wilson_bounds,
 )
 from lossledger.functions.numeric import numeric_column, total
-from lossledger.operators.ordering import count_below, global_rank, quantiles, rank_first_bin
+from lossledger.operators.ordering import after_ranks, count_below, last_ranks, quantiles
 
 
 def scored_rows(predictions: DataFrame, pd_column: str, target: str) -> DataFrame:
@@ -132,12 +132,16 @@ def monotonicity_summary(
 
 
 def with_rank_bins(df: DataFrame, score: str, bin_name: str, n_bins: int, tie: str = "facility_id") -> DataFrame:
-    """Equal-count bins of a score, ties broken by key; one bin when the score is constant."""
-    ranked, rows = global_rank(df, [score, tie], "_rank")
-    spread = ranked.agg(F.min(score).alias("low"), F.max(score).alias("high")).first()
-    if spread["low"] == spread["high"]:
-        return ranked.withColumn(bin_name, F.lit(1).cast("bigint")).drop("_rank")
-    return ranked.withColumn(bin_name, rank_first_bin(F.col("_rank"), rows, n_bins)).drop("_rank")
+    """Equal-count bins of a score, ties broken by key; one bin when the score is constant.
+
+    Rows are neither ordered nor moved: the bins' last rows are selected, and a row's bin is a comparison with them. Rows
+    without a score are in the first bin.
+    """
+    facts = df.agg(F.min(score).alias("low"), F.max(score).alias("high"), F.count(score).alias("rows")).first()
+    if facts["low"] == facts["high"]:
+        return df.withColumn(bin_name, F.lit(1).cast("bigint"))
+    earlier = after_ranks(df, score, tie, last_ranks(facts["rows"], n_bins))
+    return df.withColumn(bin_name, F.coalesce(earlier, F.lit(0)) + 1)
 
 
 def pd_calibration_by_bin(

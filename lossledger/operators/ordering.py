@@ -9,11 +9,13 @@ aggregate equal keys first or append a unique tie key.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from lossledger.session import materialize
 
@@ -194,13 +196,88 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[
     return found
 
 
-def rank_first_bin(rank: Column, rows: int, n_bins: int) -> Column:
-    """Quantile bin of a 1-based rank, equal to right-closed quantile cuts of the ranks 1..rows.
+SELECTION_BUCKETS = 256
+
+
+@dataclass(frozen=True)
+class Boundary:
+    """The value at a 1-based rank: `before` rows are smaller, `ties` rows equal it."""
+
+    rank: int
+    value: float | int
+    before: int
+    ties: int
+
+
+def select_ranks(df: DataFrame, value: str, ranks: Sequence[int]) -> list[Boundary]:
+    """The values at several ranks of a numeric column, without ordering the rows.
+
+    A histogram of counts narrows the interval around each rank until its lowest and highest value are one. A round is
+    one pass with at most len(ranks) x SELECTION_BUCKETS counts, which is what the driver gets; rows are never moved. A
+    bucket keeps the lowest and highest value that it holds, so at least one value leaves an interval in every round,
+    and about SELECTION_BUCKETS times fewer stay. Missing values are left out.
+    """
+    rows = df.select(F.col(value).alias("v")).filter("v is not null")
+    whole = rows.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n")).first()
+    if not whole["n"]:
+        return []
+    state = {r: (whole["low"], whole["high"], 0, whole["n"]) for r in ranks if 1 <= r <= whole["n"]}
+    while True:
+        # Intervals of different ranks are the same one or disjoint.
+        open_ = sorted({(low, high, before) for low, high, before, _ in state.values() if low != high})
+        if not open_:
+            return [Boundary(r, low, before, n) for r, (low, _, before, n) in sorted(state.items())]
+        v, code = F.col("v"), F.lit(None).cast("int")
+        for k, (low, high, _) in enumerate(open_):
+            # Halves, so that the width of the widest interval is still a number; rising with v, 0 at low, last at high.
+            share = F.nanvl(F.coalesce(F.try_divide(v / 2 - F.lit(low) / 2, F.lit(high) / 2 - F.lit(low) / 2), F.lit(0.0)), F.lit(0.0))
+            bucket = F.when(v <= low, 0).when(v >= high, SELECTION_BUCKETS - 1).otherwise(
+                F.least(F.greatest(F.floor(share * SELECTION_BUCKETS), F.lit(0)), F.lit(SELECTION_BUCKETS - 1))
+            )
+            code = F.when(v.between(low, high), (k * SELECTION_BUCKETS + bucket).cast("int")).otherwise(code)
+        counts = rows.select("v", code.alias("code")).filter("code is not null").groupBy("code").agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        ).collect()
+        held: dict[int, list] = {}
+        for r in sorted(counts, key=lambda r: r["code"]):
+            held.setdefault(r["code"] // SELECTION_BUCKETS, []).append(r)
+        place = {interval[:2]: k for k, interval in enumerate(open_)}
+        for rank, (low, high, before, _) in list(state.items()):
+            if low == high:
+                continue
+            for bucket in held[place[low, high]]:
+                if rank <= before + bucket["n"]:
+                    state[rank] = (bucket["low"], bucket["high"], before, bucket["n"])
+                    break
+                before += bucket["n"]
+
+
+def after_ranks(df: DataFrame, value: str, tie: str, ranks: Sequence[int]) -> Column:
+    """How many of `ranks` end before a row in the order of `value`, ties by `tie`: a comparison with literals.
+
+    A rank that ends inside equal values is settled by selection among the rows that hold the value, on their keys; keys
+    that are not numbers are ordered, but only those rows' keys. Rows that agree in both stay together.
+    """
+    v, terms = F.col(value), []
+    for b in select_ranks(df, value, ranks):
+        after = v > F.lit(b.value)
+        if b.rank < b.before + b.ties:
+            equal = df.filter(v == F.lit(b.value))
+            within = b.rank - b.before
+            if isinstance(df.schema[tie].dataType, NumericType):
+                key = select_ranks(equal, tie, [within])[0].value
+            else:
+                ranked, _ = global_rank(equal.select(tie), [tie], "_at")
+                key = ranked.filter(F.col("_at") == within).first()[tie]
+            after = after | ((v == F.lit(b.value)) & (F.col(tie) > F.lit(key)))
+        terms.append(after.cast("bigint"))
+    return reduce(Column.__add__, terms, F.lit(0).cast("bigint"))
+
+
+def last_ranks(rows: int, n_bins: int) -> list[int]:
+    """The last rank of each quantile bin but the last, equal to right-closed quantile cuts of the ranks 1..rows.
 
     Not `ntile`: the first bin is closed on both sides.
     """
     q = min(n_bins, rows)
-    if rows < 2:
-        return F.lit(1).cast("bigint")
-    edge = F.floor(((rank - 1) * q + (rows - 2)) / F.lit(rows - 1))
-    return F.greatest(F.lit(1), edge).cast("bigint")
+    return [1 + b * (rows - 1) // q for b in range(1, q)]

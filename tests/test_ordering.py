@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from lossledger.operators import ordering
 from lossledger.operators.asof import History, asof_join, latest_row
+from lossledger.operators.backtesting import with_rank_bins
 from lossledger.operators.ordering import (
     column_quantiles,
     global_rank,
     ordered_ranges,
     quantiles,
-    rank_first_bin,
+    last_ranks,
+    select_ranks,
     running_totals,
 )
 from lossledger.operators.splitting import earliest_rows, split_summary, time_split
@@ -114,8 +116,8 @@ def test_quantiles_depending_on_distinct_values(spark):
 
 @pytest.mark.parametrize("n, q", [(117, 5), (41, 5), (2347, 10), (10, 5), (3, 5), (2, 10), (100, 10)])
 def test_rank_bins_match_quantile_cuts_of_ranks(spark, n, q):
-    df = spark.range(1, n + 1).select(F.col("id").alias("rank"))
-    got = [r[0] for r in df.orderBy("rank").select(rank_first_bin(F.col("rank"), n, q)).collect()]
+    ends = last_ranks(n, q)
+    got = [1 + sum(end < rank for end in ends) for rank in range(1, n + 1)]
     ranks = pd.Series(range(1, n + 1), dtype=float)
     assert got == list(pd.qcut(ranks, q=min(q, n), labels=False) + 1)
 
@@ -160,3 +162,37 @@ def test_bracketed_quantiles_are_exact(spark, monkeypatch):
     assert got["d"] == {}
     with pytest.raises(ValueError):
         ordering.quantiles(df, [], "a", fractions)
+
+
+def selected(values, ranks, spark, kind="double"):
+    return select_ranks(spark.createDataFrame([(v,) for v in values], f"v {kind}").repartition(5), "v", ranks)
+
+
+@pytest.mark.parametrize("shape", ["normal", "wide", "few", "one", "tiny", "huge", "longs"])
+def test_selected_ranks_equal_sorting(spark, shape):
+    rng = np.random.default_rng(4)
+    values = {
+        "normal": lambda: rng.normal(size=3000).tolist(), "wide": lambda: (10.0 ** rng.uniform(-300, 300, 2000)).tolist() + [0.0, -1e308, 1.7e308],
+        "few": lambda: rng.integers(0, 4, 2000).astype(float).tolist(), "one": lambda: [2.5] * 50 + [None] * 9, "tiny": lambda: [5e-324 * k for k in range(9)],
+        "huge": lambda: [-1.7e308, 1.7e308, 1.0], "longs": lambda: [2**62 + int(x) for x in rng.integers(0, 5000, 1000)] + [-(2**62), 2**62 + 1],
+    }[shape]()
+    known = sorted(v for v in values if v is not None)
+    ranks = sorted({1, 2, len(known) // 3 or 1, len(known) // 2 or 1, len(known) - 1 or 1, len(known)})
+    for b in selected(values, ranks, spark, "bigint" if shape == "longs" else "double"):
+        assert b.value == known[b.rank - 1]
+        assert (b.before, b.ties) == (sum(v < b.value for v in known), known.count(b.value))
+
+
+def test_rows_are_counted_and_never_moved(spark):
+    """A third of all rows in one score; bins cut inside it are settled on keys; nothing is dealt to ranges."""
+    draw = random.Random(9)
+    rows = [(i, 0.5 if i % 3 == 0 else round(draw.random(), 3), f"k{i:05}") for i in range(2000)] + [(5000 + i, None, "x") for i in range(3)]
+    df = spark.createDataFrame(rows, "facility_id bigint, score double, name string").repartition(6)
+    for tie in ("facility_id", "name"):
+        binned = with_rank_bins(df, "score", "bin", 10, tie)
+        plan = binned._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan and "Sort" not in plan
+        frame = pd.DataFrame(rows, columns=["facility_id", "score", "name"]).dropna().sort_values(["score", tie]).reset_index(drop=True)
+        wanted = dict(zip(frame["facility_id"], pd.qcut(pd.Series(range(1, 2001), dtype=float), q=10, labels=False) + 1))
+        assert {r["facility_id"]: r["bin"] for r in binned.filter("score is not null").collect()} == wanted
+    assert selected([], [1], spark) == []
