@@ -1,7 +1,7 @@
 """Secret scans: candidates by shape, then a random forest that removes false positives.
 
-A candidate is the value part of a word: at least 12 characters of the alphabets of keys with a digit among them or
-a published beginning, or at least 8 after `=` or `:`. Its features are its length, how character classes change along it, how much of it words of
+A candidate is a maximal run in a word: at least 12 characters of the alphabets of keys with a digit among them or
+a published beginning, or a value of at least 8 after a name and `=` or `:`; none is too long. Its features are its length, how character classes change along it, how much of it words of
 the corpus cover, the path it came from (how often its source has candidates, where in the document it stands) and
 the words beside it. The forest is trained on labelled findings.
 
@@ -18,12 +18,17 @@ from pyspark.sql import functions as F
 
 from lossledger.llm.common import stored
 
-_KEY = r"[A-Za-z0-9+/_\-]"
 # How published keys begin.
 _PREFIX = "AKIA|ASIA|gh[pousr]_|xox[abprs]-"
-#: A word: wrapping, perhaps a name with = or :, the value, wrapping. Values end after 400 characters.
-BARE = rf"^[^A-Za-z0-9+/_\-]*((?=[^0-9]*[0-9]|{_PREFIX}){_KEY}{{12,400}})[^A-Za-z0-9+/_\-]*$"
-ASSIGNED = rf"^\W*([A-Za-z_.\-]{{1,40}})[=:][\"'`]?({_KEY}{{8,400}})[=]{{0,2}}[^A-Za-z0-9+/_\-]*$"
+_KEY, _NAME = r"[A-Za-z0-9+/_\-]", r"[A-Za-z0-9_.\-]"
+_ENDS = r"\s\"'`,;&<>(){}\[\]|\\=:"
+#: A value: all up to white space, a quote or a separator, perhaps with padding; at least 8 characters, and not a path.
+_VALUE = rf"[^{_ENDS}/][^{_ENDS}]{{7,}}+(?:={{1,2}}(?=[{_ENDS}]|$)(?![=:]))?+(?![=:])"
+#: A name and its value, with or without quotes. Names begin where no name is before them, so a run is tried once.
+ASSIGNED = rf"(?<!{_NAME})([A-Za-z_]{_NAME}*+)[\"'`]?[=:]{{1,2}}[\"'`]?({_VALUE})"
+#: A maximal run of key characters, of any length, with dotted parts that follow it.
+BARE = rf"(?<!{_KEY}){_KEY}{{12,}}+(?:\.{_KEY}{{4,}}+)*+"
+RUNS = f"{ASSIGNED}|{BARE}"
 #: About so many labelled findings of either class, chosen by a hash, fit the forest.
 FIT_FINDINGS = 20_000
 #: A word of the dictionary occurs so often in the corpus and has so many letters.
@@ -34,7 +39,7 @@ TREES, DEPTH, SEED = 40, 8, 7
 KNOWN_FORMATS = [
     r"^AKIA[0-9A-Z]{16}$", r"^ASIA[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36}$", r"^xox[abprs]-[A-Za-z0-9\-]{10,}$",
 ]
-KEY_NAME = r"(?i)^\W*(password|passwd|pwd|secret|token|api_?key|access_?key|auth|private_?key)\W*$"
+KEY_NAME = r"(?i)(?:^|[^a-z])(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|private[_-]?key)[0-9]*\W*$"
 
 FEATURES = [
     "length", "digit_share", "upper_share", "mark_share", "digit_letter_changes", "case_changes", "distinct_share",
@@ -43,15 +48,18 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """finding, doc_id, source, at (word position), n_words, name, before, before2, word, candidate; stored.
+    """finding, doc_id, source, at (word position), run (number in the word), n_words, name, before, before2, word,
+    candidate; stored.
 
-    Words are what white space leaves. Null and empty texts have none. `finding` numbers the rows.
+    Words are what white space leaves; a word may hold several candidates, at any place and of any length: values of
+    names (across quotes, colons and query strings), and maximal runs of key characters that hold a digit or begin as
+    published keys do. Null and empty texts have none. `finding` numbers the rows.
     """
     words = docs.select("doc_id", "source", F.split(F.coalesce("text", F.lit("")), r"\s+").alias("words"))
     word = lambda i: F.get("words", i)
     at = F.filter(
         F.sequence(F.lit(0), F.size("words") - 1),
-        lambda i: (F.length(word(i)) >= 9) & (word(i).rlike(BARE) | word(i).rlike(ASSIGNED)),
+        lambda i: (F.length(word(i)) >= 9) & word(i).rlike(f"[0-9=:]|{_PREFIX}") & word(i).rlike(RUNS),
     )
     near = lambda i, k: F.when(i >= k, word(F.greatest(i - k, F.lit(0)))).otherwise("")
     hits = F.transform(
@@ -63,13 +71,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     found = words.select("doc_id", "source", F.size("words").alias("n_words"), F.explode(hits).alias("h")).select(
         "doc_id", "source", "n_words", "h.*"
     )
-    value = F.coalesce(
-        F.nullif(F.regexp_extract("word", ASSIGNED, 2), F.lit("")), F.regexp_extract("word", BARE, 1)
-    )
-    return stored(found.select(
-        F.monotonically_increasing_id().alias("finding"), "*", F.regexp_extract("word", ASSIGNED, 1).alias("name"),
-        value.alias("candidate"),
-    ))
+    runs = found.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(RUNS), 0)).alias("run", "held"))
+    name = F.regexp_extract("held", ASSIGNED, 1)
+    value = F.when(name != "", F.regexp_extract("held", ASSIGNED, 2)).otherwise(F.col("held"))
+    named = runs.select("*", name.alias("name"), F.regexp_replace(value, "[=.!?]+$", "").alias("candidate")).drop("held")
+    likely = (F.col("name") != "") | F.col("candidate").rlike(f"[0-9]|^(?:{_PREFIX})")
+    return stored(named.filter(likely & (F.length("candidate") >= 8)).select(F.monotonically_increasing_id().alias("finding"), "*"))
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
@@ -85,23 +92,20 @@ def dictionary(docs: DataFrame) -> DataFrame:
 def coverage(found: DataFrame, words: DataFrame) -> DataFrame:
     """finding, covered: the share of a candidate's characters that lie in dictionary words.
 
-    The substrings of a candidate are joined with the dictionary; a candidate has at most 400 characters.
+    A candidate falls into pieces of letters at other characters and where a capital begins, so it has fewer pieces than
+    a quarter of its characters, however long it is. Pieces are joined with the dictionary by sorting, never broadcast.
     """
     low, high = DICTIONARY_LETTERS
-    n = F.length("candidate")
-    spans = F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda s: F.transform(
-            F.sequence(F.lit(low), F.lit(high)),
-            lambda k: F.when(
-                s + k - 1 <= n, F.struct(s.alias("s"), k.alias("k"), F.lower(F.substr("candidate", s, k)).alias("word"))
-            ),
-        ),
-    ))
-    parts = found.select("finding", n.alias("n"), F.explode(F.filter(spans, lambda x: x.isNotNull())).alias("x"))
-    hits = parts.select("finding", "n", "x.*").filter(F.col("word").rlike(r"^\p{Ll}+$")).join(words, "word")
-    places = hits.select("finding", "n", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("k") - 1)).alias("place"))
-    return places.distinct().groupBy("finding").agg((F.count(F.lit(1)) / F.first("n")).alias("covered"))
+    pieces = F.regexp_extract_all("candidate", F.lit(r"\p{Lu}?\p{Ll}{3,}|\p{Lu}{4,}"), 0)
+    parts = found.select("finding", F.length("candidate").alias("n"), F.explode(pieces).alias("piece")).select(
+        "finding", "n", F.lower("piece").alias("word")
+    ).filter(F.length("word").between(low, high))
+    # A finding's pieces are counted by word first.
+    counted = parts.groupBy("finding", "n", "word").agg(F.count(F.lit(1)).alias("times"))
+    hits = counted.join(words.hint("merge"), "word")
+    return hits.groupBy("finding", "n").agg((F.sum(F.col("times") * F.length("word"))).alias("letters")).select(
+        "finding", (F.col("letters") / F.col("n")).alias("covered")
+    )
 
 
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -151,7 +155,7 @@ def fit(labelled: DataFrame, fit_findings: int = FIT_FINDINGS) -> RandomForestCl
     sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if not sizes.get(0.0) or not sizes.get(1.0):
         return None
-    share = F.pmod(F.xxhash64("doc_id", "at", "candidate"), F.lit(1_000_000)) / 1_000_000
+    share = F.pmod(F.xxhash64("doc_id", "at", "run", "candidate"), F.lit(1_000_000)) / 1_000_000
     bound = F.when(F.col("label") == 1, fit_findings / sizes[1.0]).otherwise(fit_findings / sizes[0.0])
     sample = stored(labelled.filter(share < bound).select("label", *FEATURES))
     forest = RandomForestClassifier(
@@ -171,13 +175,14 @@ def score(featured: DataFrame, model: RandomForestClassificationModel | None) ->
 
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """One row per candidate in `docs`: doc_id, at, candidate, probability, is_secret.
+    """One row per candidate in `docs`: doc_id, at, run, candidate, probability, is_secret.
 
     `labelled` are findings with FEATURES and label (1 secret, 0 not); without it they come from the candidates
     themselves by `labelled_findings`. Every candidate is scored, and every occurrence is a row, also in repeated
-    documents. Documents without candidates have no row. Only doc_id, source and text are read.
+    documents. Documents without candidates have no row. Only doc_id, source and text are read. A candidate may be as
+    long as its text; the work for it grows with its length.
     """
     inner = docs.select("doc_id", "source", "text")
     featured = stored(with_features(candidates(inner), dictionary(inner)))
     model = fit(labelled_findings(featured) if labelled is None else labelled)
-    return score(featured, model).select("doc_id", "at", "candidate", "probability", "is_secret")
+    return score(featured, model).select("doc_id", "at", "run", "candidate", "probability", "is_secret")
