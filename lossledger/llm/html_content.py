@@ -32,14 +32,19 @@ RUN_FLOOR = -8.0
 #: tag says; a shorter one counts as boilerplate, but stays in the text if the region around it wins.
 SHORT_BLOCK = 12
 
+# A quote opens a value only right behind the equals sign; elsewhere it is a character like others. Possessive, so that
+# every character is read once.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)"
+    r"(?P<attributes>(?:[\s/]*+[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>]*+))?+)*+)"
+    r"(?P<tail>[\s/]*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_ATTRIBUTE = re.compile(r"""(?<![^\s/"'])([a-zA-Z-]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+))""")
 _NAME_PART = re.compile(r"[a-z]+")
 _RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object"}
+_FOREIGN = {"svg", "math"}  # only these may close themselves with a slash
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -63,6 +68,9 @@ _BOILERPLATE_NAMES = set(
 NONE, EVIDENCE, EXCLUDED, SHUT = range(4)
 _SHUT, _SHUT_ROLES = {"nav", "footer"}, {"navigation", "contentinfo"}
 _SHUT_NAMES = {"comment", "comments", "disqus", "respond", "replies"}
+_COMMENTS = re.compile("|".join(sorted(_SHUT_NAMES)), re.I)
+# A class that tells how many or whether there are comments is no class of a comment.
+_TOLD_NAMES = set("open closed count counts link links off on enabled disabled allowed no has with without number".split())
 _PAGE_ONLY, _PAGE_ONLY_NAMES = {"header"}, {"header", "banner", "masthead"}
 _BOILERPLATE_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu".split())
 
@@ -79,7 +87,7 @@ class Part:
     evidence: bool = False  # boilerplate only if the page marks its content, or by its length
 
 
-def _mark(name: str, attributes: str, in_content: bool) -> int:
+def _mark(name: str, attributes: str, in_content: bool, shut: int) -> int:
     if name in _CONTENT or name in ("html", "body"):
         return NONE
     if name in _SHUT:
@@ -96,44 +104,74 @@ def _mark(name: str, attributes: str, in_content: bool) -> int:
             found = max(found, SHUT if value in _SHUT_ROLES else EVIDENCE if form else EXCLUDED)
         if key in ("class", "id"):
             parts = set(_NAME_PART.findall(value))
-            if parts & _SHUT_NAMES:
-                found = SHUT
-            elif parts & _BOILERPLATE_NAMES or not in_content and parts & _PAGE_ONLY_NAMES:
+            if parts & _SHUT_NAMES and any(w & _SHUT_NAMES and not w & _TOLD_NAMES for w in (set(_NAME_PART.findall(v)) for v in value.split())):
+                found = max(found, shut)
+            elif parts - _SHUT_NAMES & _BOILERPLATE_NAMES or not in_content and parts & _PAGE_ONLY_NAMES:
                 found = max(found, EVIDENCE)
     return found
 
 
-def _inside(name: str, attributes: str, mark: int, in_content: bool) -> int:
+def _inside(name: str, attributes: str, mark: int, in_content: bool, shut: int) -> int:
     """The mark of an element within one with `mark`. An article ends evidence, and what excludes around the content."""
     if name in _CONTENT and (mark == EVIDENCE or mark == EXCLUDED and not in_content):
         return NONE
-    return max(mark, _mark(name, attributes, in_content))
+    return max(mark, _mark(name, attributes, in_content, shut))
 
 
 def _place(boilerplate: bool, content: bool) -> str:
     return "" if not boilerplate else "inset" if content else "boilerplate"
 
 
-def parse(page: str) -> Iterator[Part]:
-    """Parts of a page in order. Elements left open end where an element around them ends."""
-    stack: list[tuple[str, int, bool]] = []  # name, mark, in content
+@dataclass(frozen=True)
+class _Open:
+    name: str
+    mark: int
+    content: bool
+    block: str  # the nearest block or link, itself included
+
+
+class _Stack:
+    """Open elements, and for each name the places where it is open, so that nothing is searched."""
+
+    def __init__(self):
+        self.open: list[_Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.top = _Open("", NONE, False, "none")
+
+    def push(self, name: str, mark: int, content: bool) -> None:
+        block = name if name in _BLOCK or name == "a" else self.top.block
+        self.top = _Open(name, mark, content, block)
+        self.places.setdefault(name, []).append(len(self.open))
+        self.open.append(self.top)
+
+    def _last(self, names: set[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def close(self, names: set[str], holders: set[str] = frozenset()) -> None:
+        """End the innermost element of these names, with all inside it, unless a holder stands in between."""
+        at = self._last(names)
+        if at < 0 or at < self._last(holders - names):
+            return
+        for element in reversed(self.open[at:]):
+            self.places[element.name].pop()
+        del self.open[at:]
+        self.top = self.open[-1] if self.open else _Open("", NONE, False, "none")
+
+
+def parse(page: str, shut: int = SHUT) -> Iterator[Part]:
+    """Parts of a page in order. Elements left open end where an element around them ends.
+
+    `shut` is the mark of elements whose class names comments. The time is in proportion to the page's length.
+    """
+    stack = _Stack()
 
     def text_part(text: str) -> Iterator[Part]:
         if text:
-            _, mark, content = stack[-1] if stack else ("", NONE, False)
+            mark, content = stack.top.mark, stack.top.content
             boilerplate = mark > NONE
-            block = next((n for n, _, _ in reversed(stack) if n in _BLOCK or n == "a"), "none")
-            kind = f"words:{_place(boilerplate, content) or block}"
+            kind = f"words:{_place(boilerplate, content) or stack.top.block}"
             yield Part(kind, text, False, boilerplate, content and not boilerplate, mark == EVIDENCE and not content)
 
-    def close(names: set[str], holders: set[str]) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                del stack[k:]
-                return
-            if stack[k][0] in holders:
-                return
-
     at = 0
     while m := _TOKEN.search(page, at):
         yield from text_part(page[at : m.start()])
@@ -141,25 +179,25 @@ def parse(page: str) -> Iterator[Part]:
         if not m["name"]:
             continue
         name = m["name"].lower()
-        _, mark, content = stack[-1] if stack else ("", NONE, False)
+        mark, content = stack.top.mark, stack.top.content
         if m["end"]:
             if name not in _VOID:
-                close({name}, set())
+                stack.close({name})
         else:
             if name in _RAW:
-                if not m["attributes"].endswith("/"):
+                if name not in _FOREIGN or "/" not in m["tail"]:
                     stop = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
                     at = page.find(">", stop.start()) + 1 or len(page) if stop else len(page)
                 continue
             if name in _BLOCK:
-                close({"p"}, _HOLDERS)
+                stack.close({"p"}, _HOLDERS)
             if name in _CLOSES:
-                close(_CLOSES[name], _HOLDERS - _CLOSES[name])
-            _, mark, content = stack[-1] if stack else ("", NONE, False)
-        if not m["end"] and name not in _VOID and not m["attributes"].endswith("/"):
-            mark = _inside(name, m["attributes"], mark, content)
+                stack.close(_CLOSES[name], _HOLDERS)
+            mark, content = stack.top.mark, stack.top.content
+        if not m["end"] and name not in _VOID:
+            mark = _inside(name, m["attributes"], mark, content, shut)
             content = content or name in _CONTENT
-            stack.append((name, mark, content))
+            stack.push(name, mark, content)
         boilerplate = mark > NONE
         known = name if name in _BLOCK or name in ("a", "b", "i", "em", "strong", "span", "br", "img") else "other"
         kind = f"tag:{_place(boilerplate, content) or known}"
@@ -237,7 +275,14 @@ def _weighed(parts: list[Part]) -> list[Part]:
 
 
 def main_text(page: str, weights: dict[str, float]) -> str:
-    parts = _weighed(list(parse(page)))
+    """The text of the best region. Where all that a page has lies under classes that name comments, these are evidence
+    only: the page is not a comment as a whole."""
+    text = _region_text(page, weights, SHUT)
+    return text if text or not _COMMENTS.search(page) else _region_text(page, weights, EVIDENCE)
+
+
+def _region_text(page: str, weights: dict[str, float], shut: int) -> str:
+    parts = _weighed(list(parse(page, shut)))
     # Text runs become readable before they are counted and joined.
     texts = [p.text if is_tag(p) else html.unescape(p.text) for p in parts]
     scores, run = [], 0.0
@@ -287,7 +332,8 @@ def fit_weights(pages: DataFrame, fit_pages: int = FIT_PAGES) -> dict[str, float
 def extract(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
     """page_id, url, text for every row of `pages`; a null or empty page, or one without content, has the empty text.
 
-    Pages are worked on one by one where they are read. Repeated rows give repeated rows; other columns are ignored.
+    Pages are worked on one by one where they are read. Repeated rows give repeated rows; other columns are ignored. A
+    very long page is read whole, in time and memory in proportion to its length.
     """
     rest = pages.select("page_id", "url", "html")
 
