@@ -56,6 +56,21 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_in_buckets(df: DataFrame, key: str) -> DataFrame:
+    """As `stored`, in buckets of `key`: joins and groups by it leave these rows in place.
+
+    A task writes a file for each bucket that its rows fall into, so `key` should have few values in a task. There are
+    as many buckets as shuffle partitions; with fewer, Spark would move both sides of a join.
+    """
+    spark = df.sparkSession
+    name = f"lossledger_llm_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/lossledger-llm/{spark.sparkContext.applicationId}/{name}"
+    df.write.format("parquet").bucketBy(shuffle_partitions(spark), key).option("path", path).saveAsTable(name)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.table(name)
+
+
 def share_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, also if it is not installed there and the
     driver runs in another folder. On a cluster it is installed or shipped with --py-files."""
@@ -70,6 +85,16 @@ def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def with_keys(docs: DataFrame) -> DataFrame:
+    """Every row of `docs` as the struct `row`, so that its columns may have any name, with what names it: id and
+    no_id (doc_id of any type, null or not) and digest (of its text)."""
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    return docs.select(
+        F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+        F.col("doc_id").isNull().alias("no_id"), digest.alias("digest"),
+    )
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.llm.common import sorted_names, stored
+from lossledger.llm.common import sorted_names, stored, with_keys
 
 BLOCK_CHARS = 8192
 MAX_SEEDS = 8
@@ -110,6 +110,14 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of `docs` that stay, with the columns of `docs`. doc_id has to be a key here."""
-    kept = exact_groups(docs, block_chars).filter("kept").select(F.col("doc_id").alias("__kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The rows of `docs` that stay, with the columns of `docs`, which may have any name.
+
+    A row is found again by its doc_id and its text, so a doc_id may have several texts; of rows that agree in both, one
+    stays.
+    """
+    kept = exact_groups(docs, block_chars).filter("kept").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("doc_id").isNull().alias("no_id"),
+        F.unhex("text_sha256").alias("digest"),
+    )
+    key = ["id", "no_id", "digest"]
+    return with_keys(docs).join(kept.distinct(), key, "left_semi").dropDuplicates(key).select("row.*")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lossledger.llm.common import map_arrow, share_package, stored
+from lossledger.llm.common import map_arrow, share_package, stored, stored_in_buckets
 
 ORDER = 4
 POOLED = "*"
@@ -38,7 +38,8 @@ LOW_QUANTILE, HIGH_QUANTILE = 0.0005, 0.998
 #: The quantiles' distances from the mean are widened by this: training text is easier for the model than other text.
 MARGIN = 1.25
 #: Characters that are counted at once, and whose rows share one list of n-grams.
-STEP_SYMBOLS, BATCH_SYMBOLS = 1_000_000, 16_000_000
+STEP_SYMBOLS, BATCH_SYMBOLS = 1_000_000, 8_000_000
+BROADCAST_IDS = 5_000_000
 
 _PUNCTUATION = ".,'-\":;?!()="
 _LETTER_BUCKETS = 12
@@ -127,9 +128,9 @@ class _Batch:
         local = np.array([self.models.setdefault(m, len(self.models)) for m in models], np.int64)
         doc = keys // GRAMS
         self.rows.append(rows)
-        self.doc.append(doc + self.count)
+        self.doc.append((doc + self.count).astype(np.int32))
         self.code.append(local[doc] * GRAMS + keys % GRAMS)
-        self.times.append(times)
+        self.times.append(times.astype(np.int32))
         self.sizes.append(np.array([len(t) for t in texts], np.int64))
         self.trusted.append(trusted)
         self.count += len(texts)
@@ -140,12 +141,15 @@ class _Batch:
         One more row has the list, with the counts over trusted documents."""
         doc, times = np.concatenate(self.doc), np.concatenate(self.times)
         codes, place = np.unique(np.concatenate(self.code), return_inverse=True)
-        order = np.lexsort((place, doc))
-        place, times, doc = place[order], times[order], doc[order]
+        self.doc = self.code = self.times = []
+        # A document has one model, and its n-grams come in order, so its places rise.
+        place = place.astype(np.int32)
         trained = np.bincount(place, times * np.concatenate(self.trusted)[doc], len(codes)).astype(np.int64)
         ends = np.cumsum(np.bincount(doc, minlength=self.count))
-        steps = np.diff(place, prepend=0)
-        steps[np.concatenate([[0], ends[:-1]])[np.diff(ends, prepend=0) > 0]] = place[np.concatenate([[0], ends[:-1]])[np.diff(ends, prepend=0) > 0]]
+        steps = np.diff(place, prepend=np.int32(0))
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        steps[first] = place[first]
+        del place, doc
         pieces = list(zip([0, *ends[:-1]], ends))
         names, n = list(self.models), self.count
 
@@ -190,7 +194,8 @@ def _pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def counted(docs: DataFrame, columns: list[str]) -> DataFrame:
     """One pass over `docs` (text, model, trusted and `columns`), stored: per row its n-grams as places in its batch's
-    list, and per batch that list. No text is stored; `columns` travel as a struct, so they may have any name."""
+    list, and per batch that list. No text is stored; `columns` travel as a struct, so they may have any name. Rows lie
+    in buckets of their batch, so that what comes back to a batch finds them without moving them."""
     rows = docs.select(F.struct(*columns).alias("row"), "text", "model", "trusted")
     schema = T.StructType([
         T.StructField("batch", T.LongType()), rows.schema["row"], T.StructField("symbols", T.LongType()),
@@ -199,7 +204,7 @@ def counted(docs: DataFrame, columns: list[str]) -> DataFrame:
         T.StructField("trained", T.ArrayType(T.LongType())),
     ])
     schema["row"].nullable = True
-    return stored(map_arrow(rows, _pass, schema))
+    return stored_in_buckets(map_arrow(rows, _pass, schema), "batch")
 
 
 def batch_grams(passed: DataFrame) -> DataFrame:
@@ -412,8 +417,16 @@ def _pulled(mean: Column) -> Column:
 
 
 def with_trust(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` with trusted: whether `labels` names the doc_id as good. Spark broadcasts the ids where they are few."""
+    """`docs` with trusted: whether `labels` names the doc_id as good.
+
+    Up to BROADCAST_IDS whole numbers (counted first: 8 bytes each) go to the texts; otherwise both sides are shuffled,
+    with the same result.
+    """
     good = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("__good")).distinct()
+    if isinstance(good.schema["__good"].dataType, T.IntegralType):
+        good = stored(good)
+        if good.count() <= BROADCAST_IDS:
+            good = F.broadcast(good)
     marked = docs.join(good, docs["doc_id"] == F.col("__good"), "left")
     return marked.withColumn("trusted", F.col("__good").isNotNull()).drop("__good")
 

@@ -124,4 +124,6 @@ def laid_out(docs: DataFrame, weights: dict[str, int], block_chars: int = BLOCK_
 def mixed(docs: DataFrame, weights: dict[str, int], block_chars: int = BLOCK_CHARS) -> DataFrame:
     """`docs` in the order of the schedule, all rows and columns. A reader of several files may lose that order;
     what has to last takes the columns of `laid_out`."""
-    return laid_out(docs, weights, block_chars).select(*docs.columns)
+    # Columns of `docs` may have any name, those of the schedule too.
+    plain = [c if c in ("doc_id", "source", "text") else f"_{i}" for i, c in enumerate(docs.columns)]
+    return laid_out(docs.toDF(*plain), weights, block_chars).select(*plain).toDF(*docs.columns)

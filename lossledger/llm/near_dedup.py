@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.llm.common import map_arrow, stored
+from lossledger.llm.common import map_arrow, stored, with_keys
 from lossledger.llm.shingles import SHINGLE, mix, shingle_sets, text_pieces
 
 HALVES, HALF_SIZE = 20, 4
@@ -328,6 +328,12 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = LINK_PE
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = LINK_PERCENT) -> DataFrame:
-    """The rows of `docs` whose document stands for its component, with the columns of `docs`."""
-    kept = near_duplicates(docs, size, percent).filter("kept").select(F.col("doc_id").alias("__kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The rows of `docs` whose document stands for its component, with the columns of `docs`, which may have any name.
+
+    doc_id is a whole number. Of rows that agree in doc_id and text, one stays.
+    """
+    kept = near_duplicates(docs, size, percent).filter("kept").select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("doc_id").isNull().alias("no_id")
+    )
+    rows = with_keys(docs).join(kept.distinct(), ["id", "no_id"], "left_semi")
+    return rows.dropDuplicates(["id", "no_id", "digest"]).select("row.*")
