@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +44,10 @@ def pooled(low: np.ndarray, high: np.ndarray, weight: np.ndarray, total: np.ndar
     return [np.array(c) for c in zip(*kept)] if kept else [np.empty(0)] * 4
 
 
-def _pool_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pool_ranges(batches: Iterator) -> Iterator:
     """The blocks of one range, in ascending order over its batches."""
+    import pyarrow as pa
+
     held = [np.empty(0)] * 4
     names = ["low", "high", "weight", "total"]
     for batch in batches:

@@ -36,7 +36,7 @@ from lossledger.operators import (
     staging,
     stress,
 )
-from lossledger.plans import model_checks
+from lossledger.plans import model_checks, source_checks
 from lossledger.plans.oracle import oracle_query
 from lossledger.session import materialize
 from lossledger.sources.portfolio import REPORTING_DATE, Portfolio
@@ -323,6 +323,14 @@ def ridge_coefficients(f: Frames) -> DataFrame:
     return f.spark.createDataFrame(rows, "feature string, coefficient double")
 
 
+def named_scores(f: Frames) -> DataFrame:
+    columns = ["facility_id", "observation_date", TARGET, PD, "current_pd_estimate"]
+    split = splitting.time_split(materialize(f.staging_sample.select(*columns)))
+    return splitting.split_part(split, "oot").select(
+        F.lit(0.5).alias("pd_dummy_prior"), F.col(PD).alias("pd_origination"), F.col("current_pd_estimate").alias("pd_current")
+    )
+
+
 def sketch_ranks(f: Frames) -> DataFrame:
     """feature, cuts, expected_within, actual_within: whether ranks of sketches merged from months are near the exact
     shares at all cuts of the exact report."""
@@ -630,6 +638,17 @@ QUERIES: dict[str, Query] = {
     "validation_summary": Query(validation_summary, "validation_summary", _digits(2, "value")),
     "traffic_lights": Query(lambda f: reports.traffic_lights(f.headline_reports()), "traffic_lights"),
     "executive_summary": Query(lambda f: reports.executive_summary(f.headline_reports()), "executive_summary"),
+    # Sources and sinks.
+    "csv_round_trip": Query(lambda f: source_checks.csv_round_trip(f.raw), "csv_round_trip", _digits(2, "total")),
+    "published_mart": Query(
+        lambda f: source_checks.published_mart(f.mart, f.raw["payments"]), "published_mart", _digits(2, "outstanding")
+    ),
+    "published_portfolio": Query(lambda f: source_checks.published_portfolio(f.staged), "published_portfolio"),
+    "report_read_back": Query(
+        lambda f: source_checks.report_read_back(staging.stage_distribution(f.staged)), "report_read_back",
+        {**STAGE_DIGITS, **_digits(6, "facility_share", "outstanding_share")},
+    ),
+    "score_choice": Query(lambda f: source_checks.score_choice(named_scores(f)), "score_choice", _digits(6, "mean_score")),
     # Fits whose optimum SQL reaches by another way.
     "sigmoid_fit": Query(
         lambda f: sigmoid.fit_report(margins(f, "valid")), "sigmoid_fit",

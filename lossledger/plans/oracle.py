@@ -8,6 +8,7 @@ where the Spark side uses aggregates and range partitions.
 from __future__ import annotations
 
 from lossledger.plans.oracle_fits import fits
+from lossledger.plans.oracle_sources import SOURCES
 from lossledger.plans.oracle_values import (
     AVERAGE_CHECKS,
     BAD_ROW_CHECKS,
@@ -1017,7 +1018,7 @@ PREPARATION = {
     ),
 }
 
-CTES = {**RAW, **MARTS, **IMPAIRMENT, **VALIDATION, **PREPARATION, **fits(_binary_metrics_sql)}
+CTES = {**RAW, **MARTS, **IMPAIRMENT, **VALIDATION, **PREPARATION, **fits(_binary_metrics_sql), **SOURCES}
 
 
 def oracle_query(step: str, digits: dict[str, int]) -> str:
