@@ -27,7 +27,7 @@ _RIDGE = ["term_years", "interest_rate", "dpd_quarters", "coverage"]
 
 def _ridge_sql(columns: list[str], label: str) -> str:
     """Gauss-Jordan elimination of the centred, penalised normal equations, a column at a time."""
-    n, every = len(columns), range(len(columns))
+    every = range(len(columns))
     mean = lambda c: f"(sum(w * {c}) / sum(w))"
     sql = "SELECT " + ", ".join(
         [f"sum(w * {a} * {b}) - sum(w) * {mean(a)} * {mean(b)}{' + 1' if i == j else ''} AS a_{i}_{j}"
@@ -43,7 +43,6 @@ def _ridge_sql(columns: list[str], label: str) -> str:
         ) + f" FROM ({sql})"
     beta = [f"b_{i} / a_{i}_{i}" for i in every]
     rows = [f"('{c}', {b})" for c, b in zip(columns, beta)] + [f"('intercept', m_label - {' - '.join(f'm_{i} * {b}' for i, b in enumerate(beta))})"]
-    assert n == len(beta)
     return f"SELECT u.f AS feature, u.v::DOUBLE AS coefficient FROM ({sql}) s, LATERAL (VALUES {', '.join(rows)}) u(f, v)"
 
 

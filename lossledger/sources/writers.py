@@ -1,4 +1,4 @@
-"""Sinks: marts, facility-level results and small reports."""
+"""Sinks: facility-level results and small reports. Marts are published, see `publication`."""
 
 from __future__ import annotations
 
@@ -7,22 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def save_mart(
-    df: DataFrame,
-    table: str,
-    bucket_by: str | None = None,
-    buckets: int = 64,
-    partition_by: Sequence[str] = (),
-) -> None:
-    """Replace a mart table. Bucketing on the join key lets the samples join it without a shuffle."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if bucket_by:
-        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(table)
-
-
 def save_facility_level(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Portfolio-size result, written in parallel by all tasks."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

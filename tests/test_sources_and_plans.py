@@ -9,7 +9,7 @@ import __spark_entry__ as spark_entry
 from lossledger import session
 from lossledger.operators import marts, rollups, staging
 from lossledger.plans.catalog import QUERIES, Frames
-from lossledger.sources import readers, writers
+from lossledger.sources import publication, readers, writers
 from lossledger.sources.portfolio import REPORTING_DATE, Portfolio
 from lossledger.sources.schemas import RAW_TABLES, raw_columns, raw_schema
 
@@ -81,15 +81,11 @@ def test_sinks_and_report_reading(spark, tmp_path):
 
 def test_bucketed_mart_joins_without_shuffle(spark, tmp_path):
     left = spark.range(1000).withColumnRenamed("id", "facility_id")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS test_marts LOCATION '{tmp_path}/db'")
-    try:
-        for name in ("a", "b"):
-            writers.save_mart(left.withColumn(name, F.lit(1)), f"test_marts.{name}", bucket_by="facility_id", buckets=4)
-            writers.save_mart(left.withColumn(name, F.lit(1)), f"test_marts.{name}", bucket_by="facility_id", buckets=4)
-        joined = spark.table("test_marts.a").hint("merge").join(spark.table("test_marts.b"), "facility_id")
-        assert "Exchange" not in plan(joined) and joined.count() == 1000
-    finally:
-        spark.sql("DROP DATABASE test_marts CASCADE")
+    a, b = [
+        publication.publish(left.withColumn(name, F.lit(1)), f"{tmp_path}/{name}", ["facility_id"], buckets=4) for name in ("a", "b")
+    ]
+    joined = a.hint("merge").join(b, "facility_id")
+    assert "Exchange" not in plan(joined) and joined.count() == 1000
 
 
 def test_stored_rows_go_to_the_shared_folder(spark, tmp_path, monkeypatch):
