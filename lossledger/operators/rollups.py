@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lossledger.functions.numeric import settled_total, sum_parts
+
 
 def collateral_rollup(collateral: DataFrame) -> DataFrame:
-    """Per facility; grouped by type first, in fixed-width buffers, so that items are hashed and not sorted."""
+    """Per facility; grouped by type first, in fixed-width buffers, so that items are hashed and not sorted.
+
+    Values are cut into quantiles later, so totals of equal items have to be equal in every order of the items.
+    """
     value, haircut = F.col("collateral_value"), F.col("haircut")
+    parts = {"value": sum_parts(value), "haircuts": sum_parts(haircut), "effective": sum_parts(value * (1 - haircut))}
     by_type = collateral.groupBy("facility_id", "collateral_type").agg(
-        F.sum(value).alias("value"), F.sum(haircut).alias("haircuts"), F.count(haircut).alias("items"),
-        F.sum(value * (1 - haircut)).alias("effective"),
+        F.count(haircut).alias("items"), *[p.alias(f"{n}_{i}") for n, pair in parts.items() for i, p in enumerate(pair)]
     )
+    total = lambda name: F.sum(f"{name}_0") + F.sum(f"{name}_1")
     return by_type.groupBy("facility_id").agg(
         F.max("collateral_type").alias("collateral_type"),
-        F.sum("value").alias("collateral_value"),
-        (F.sum("haircuts") / F.nullif(F.sum("items"), F.lit(0))).alias("avg_collateral_haircut"),
-        F.sum("effective").alias("effective_collateral_value"),
+        total("value").alias("collateral_value"),
+        (total("haircuts") / F.nullif(F.sum("items"), F.lit(0))).alias("avg_collateral_haircut"),
+        total("effective").alias("effective_collateral_value"),
     )
 
 
@@ -60,7 +66,7 @@ def payment_rollup(facilities: DataFrame, payments: DataFrame, window_months: in
 
 def recovery_rollup(recoveries: DataFrame) -> DataFrame:
     return recoveries.groupBy("facility_id").agg(
-        F.sum("recovery_amount").alias("total_recovery_amount"),
-        F.sum("collection_cost").alias("total_collection_cost"),
+        settled_total(F.col("recovery_amount")).alias("total_recovery_amount"),
+        settled_total(F.col("collection_cost")).alias("total_collection_cost"),
         F.count(F.lit(1)).alias("recovery_events_count"),
     )
