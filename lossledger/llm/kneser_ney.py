@@ -1,7 +1,7 @@
 """Quality classifier: interpolated modified Kneser-Ney model of trusted text.
 
-The model is over characters in SYMBOLS classes, order 4, one per language with trusted text and one over all
-languages (`*`); a text's probabilities are weighted means of both, up to half of its language's: the less trusted
+The model is over characters, each of Unicode a symbol of its own but decimal digits, which are one; order 4, one model
+per language with trusted text and one over all languages (`*`); a text's probabilities are weighted means of both, up to half of its language's: the less trusted
 text a language has, the more of them, of its mean and of its limits are the pooled ones. It is estimated with joins of sharded count tables: counts and continuation
 counts by n-gram, context totals with counts of counts by context, and each order joined with the one below it by
 suffix and with its contexts by prefix. A document's perplexity is pulled towards the mean of its language with the
@@ -41,60 +41,72 @@ MARGIN = 1.25
 STEP_SYMBOLS, BATCH_SYMBOLS = 1_000_000, 8_000_000
 BROADCAST_IDS = 5_000_000
 
-_PUNCTUATION = ".,'-\":;?!()="
-_LETTER_BUCKETS = 12
-START, SPACE, LINE, DIGIT, CAPITAL, MARK = range(6)
-_FIRST_LATIN = 6
-_FIRST_PUNCTUATION = _FIRST_LATIN + 26
-_FIRST_LETTER = _FIRST_PUNCTUATION + len(_PUNCTUATION)
-SYMBOLS = _FIRST_LETTER + _LETTER_BUCKETS
-GRAMS = SYMBOLS**ORDER
+START = 0
+#: Every code point and START. A symbol has BITS bits, so a gram of four is two columns of two symbols each.
+SYMBOLS, BITS = 0x110001, 21
+GRAM = ["head", "tail"]
+_DENSE = 1 << 22
 
 
 def symbol_of(code: int) -> int:
-    """a-z and common punctuation for themselves; capitals, digits, spaces and other marks as classes; other letters
-    in buckets."""
-    char = chr(code)
-    if "a" <= char <= "z":
-        return _FIRST_LATIN + code - ord("a")
-    if char in _PUNCTUATION:
-        return _FIRST_PUNCTUATION + _PUNCTUATION.index(char)
-    if char == "\n":
-        return LINE
-    if char.isspace():
-        return SPACE
-    kind = unicodedata.category(char)
-    if kind in ("Lu", "Lt"):
-        return CAPITAL
-    if kind[0] == "N":
-        return DIGIT
-    if kind[0] in "LM":
-        return _FIRST_LETTER + code % _LETTER_BUCKETS
-    return MARK
+    """Each code point for itself, decimal digits of any script as 0: figures of prices, keys and numbers are drawn
+    evenly and say nothing about a language. START is no code point."""
+    return (ord("0") if unicodedata.category(chr(code)) == "Nd" else code) + 1
 
 
 @lru_cache(1)
 def symbol_table() -> np.ndarray:
-    return np.array([MARK if 0xD800 <= c < 0xE000 else symbol_of(c) for c in range(0x110000)], np.uint8)
+    return np.array([symbol_of(c) for c in range(0x110000)], np.int64)
 
 
-def gram_ids(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the text and the ORDER-gram ending at each character, as a number, for all texts at once; before each
-    text stand START symbols."""
+def last_symbols(size: int) -> list[Column]:
+    """head and tail of the last `size` symbols of a gram."""
+    head, tail, one = F.col("head"), F.col("tail"), F.lit((1 << BITS) - 1)
+    zero = F.lit(0).cast("bigint")
+    return [
+        (head if size >= 4 else head.bitwiseAND(one) if size == 3 else zero).alias("head"),
+        (tail if size >= 2 else tail.bitwiseAND(one) if size == 1 else zero).alias("tail"),
+    ]
+
+
+def context_symbols(gram: list[Column] | None = None) -> list[Column]:
+    """head and tail of a gram (else of the columns) without its last symbol."""
+    head, tail = gram or (F.col("head"), F.col("tail"))
+    moved = F.shiftleft(head.bitwiseAND(F.lit((1 << BITS) - 1)), BITS)
+    return [F.shiftright(head, BITS).alias("head"), F.shiftright(tail, BITS).bitwiseOR(moved).alias("tail")]
+
+
+def _ranks(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of numbers below `size`, ascending, and the place of each number among them."""
+    if size > _DENSE:
+        return np.unique(values, return_inverse=True)
+    found = np.flatnonzero(np.bincount(values, minlength=size))
+    place = np.zeros(size, np.int64)
+    place[found] = np.arange(len(found))
+    return found, place[values]
+
+
+def distinct_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct grams of each text, in order of text and gram: number of the text, head and tail as places among the
+    pairs of symbols, how often, and these pairs. A gram ends at each character; before each text stand START symbols."""
     sizes = np.array([len(t) for t in texts], np.int64)
     pad = "\0" * (ORDER - 1)
     joined = pad + pad.join(texts)
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = symbol_table()[codes].astype(np.int32)
+    symbols = symbol_table()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
     starts = np.cumsum(sizes + ORDER - 1) - sizes
     for k in range(1, ORDER):
         symbols[starts - k] = START
-    ids = np.zeros(max(len(symbols) - ORDER + 1, 0), np.int32)
-    for k in range(ORDER):
-        ids = ids * SYMBOLS + symbols[k : k + len(ids)]
+    kinds, symbols = _ranks(symbols, SYMBOLS)
+    n = len(kinds)
+    pairs, at = _ranks(symbols[:-1] * n + symbols[1:], n * n)
+    pairs = (kinds[pairs // n] << BITS) | kinds[pairs % n]
     doc = np.repeat(np.arange(len(texts)), sizes)
-    at = np.arange(len(doc)) + (ORDER - 1) * doc
-    return doc, ids[at]
+    first = np.arange(len(doc)) + (ORDER - 1) * doc
+    n = len(pairs)
+    keys, times = np.unique((doc * n + at[first]) * n + at[first + 2], return_counts=True)
+    doc, keys = np.divmod(keys, n * n)
+    head, tail = np.divmod(keys, n)
+    return doc.astype(np.int32), head.astype(np.int32), tail.astype(np.int32), times.astype(np.int32), pairs
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -113,59 +125,63 @@ class _Batch:
     """Distinct n-grams of the rows of a batch, gathered step by step."""
 
     def __init__(self):
-        self.rows: list[pa.Array] = []
-        self.doc: list[np.ndarray] = []
-        self.code: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []
-        self.trusted: list[np.ndarray] = []
+        self.steps: list[tuple] = []
         self.models: dict[str, int] = {}
         self.count = self.characters = 0
 
     def add(self, rows: pa.Array, models: list[str], texts: list[str], trusted: np.ndarray) -> None:
-        doc, ids = gram_ids(texts)
-        keys, times = np.unique(doc * GRAMS + ids, return_counts=True)
         local = np.array([self.models.setdefault(m, len(self.models)) for m in models], np.int64)
-        doc = keys // GRAMS
-        self.rows.append(rows)
-        self.doc.append((doc + self.count).astype(np.int32))
-        self.code.append(local[doc] * GRAMS + keys % GRAMS)
-        self.times.append(times.astype(np.int32))
-        self.sizes.append(np.array([len(t) for t in texts], np.int64))
-        self.trusted.append(trusted)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        self.steps.append((rows, local, sizes, trusted, *distinct_grams(texts)))
         self.count += len(texts)
-        self.characters += int(self.sizes[-1].sum())
+        self.characters += int(sizes.sum())
 
     def made(self, number: int) -> pa.RecordBatch:
         """A row per document: places in the batch's list of n-grams, ascending, as steps, and how often each occurs.
-        One more row has the list, with the counts over trusted documents."""
-        doc, times = np.concatenate(self.doc), np.concatenate(self.times)
-        codes, place = np.unique(np.concatenate(self.code), return_inverse=True)
-        self.doc = self.code = self.times = []
-        # A document has one model, and its n-grams come in order, so its places rise.
-        place = place.astype(np.int32)
-        trained = np.bincount(place, times * np.concatenate(self.trusted)[doc], len(codes)).astype(np.int64)
-        ends = np.cumsum(np.bincount(doc, minlength=self.count))
-        steps = np.diff(place, prepend=np.int32(0))
-        first = np.flatnonzero(np.diff(doc, prepend=-1))
-        steps[first] = place[first]
-        del place, doc
-        pieces = list(zip([0, *ends[:-1]], ends))
-        names, n = list(self.models), self.count
+        One more row has the list, with the counts over trusted documents. Only one step's places are held at a time."""
+        pairs = np.unique(np.concatenate([step[-1] for step in self.steps]))
+        n = len(pairs)
+
+        def codes_of(local, doc, head, tail, own) -> np.ndarray:
+            at = np.searchsorted(pairs, own)
+            return (local[doc] * n + at[head]) * n + at[tail]
+
+        codes = np.zeros(0, np.int64)
+        for _, local, _, _, doc, head, tail, _, own in self.steps:
+            codes = np.union1d(codes, codes_of(local, doc, head, tail, own))
+        trained = np.zeros(len(codes), np.int64)
+        rows, sizes, steps, often = [], [], [], []
+        for row, local, size, trusted, doc, head, tail, times, own in self.steps:
+            place = np.searchsorted(codes, codes_of(local, doc, head, tail, own)).astype(np.int32)
+            good = trusted[doc]
+            trained += np.bincount(place[good], times[good], len(codes)).astype(np.int64)
+            # A document has one model, and its n-grams come in order, so its places rise.
+            rise = np.diff(place, prepend=np.int32(0))
+            first = np.flatnonzero(np.diff(doc, prepend=np.int32(-1)))
+            rise[first] = place[first]
+            ends = np.cumsum(np.bincount(doc, minlength=len(size)))
+            for start, end in zip([0, *ends[:-1]], ends):
+                steps.append(packed(rise[start:end]))
+                often.append(packed(times[start:end]))
+            rows.append(row)
+            sizes.append(size)
+        self.steps = []
+        model, gram = np.divmod(codes, n * n)
+        names, count = list(self.models), self.count
 
         def one(values, kind: pa.DataType) -> pa.Array:
-            return pa.concat_arrays([pa.nulls(n, pa.list_(kind)), pa.array([values], pa.list_(kind))])
+            return pa.concat_arrays([pa.nulls(count, pa.list_(kind)), pa.array([values], pa.list_(kind))])
 
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.full(n + 1, number)),
-                pa.concat_arrays([*self.rows, pa.nulls(1, self.rows[0].type)]),
-                pa.concat_arrays([pa.array(np.concatenate(self.sizes)), pa.nulls(1, pa.int64())]),
-                pa.array([*(packed(steps[s:e]) for s, e in pieces), None], pa.binary()),
-                pa.array([*(packed(times[s:e]) for s, e in pieces), None], pa.binary()),
-                one([names[k] for k in codes // GRAMS], pa.string()), one(codes % GRAMS, pa.int64()), one(trained, pa.int64()),
+                pa.array(np.full(count + 1, number)),
+                pa.concat_arrays([*rows, pa.nulls(1, rows[0].type)]),
+                pa.concat_arrays([pa.array(np.concatenate(sizes)), pa.nulls(1, pa.int64())]),
+                pa.array([*steps, None], pa.binary()), pa.array([*often, None], pa.binary()),
+                one([names[k] for k in model], pa.string()), one(pairs[gram // n], pa.int64()),
+                one(pairs[gram % n], pa.int64()), one(trained, pa.int64()),
             ],
-            names=["batch", "row", "symbols", "steps", "times", "models", "grams", "trained"],
+            names=["batch", "row", "symbols", "steps", "times", "models", "heads", "tails", "trained"],
         )
 
 
@@ -200,24 +216,25 @@ def counted(docs: DataFrame, columns: list[str]) -> DataFrame:
     schema = T.StructType([
         T.StructField("batch", T.LongType()), rows.schema["row"], T.StructField("symbols", T.LongType()),
         T.StructField("steps", T.BinaryType()), T.StructField("times", T.BinaryType()),
-        T.StructField("models", T.ArrayType(T.StringType())), T.StructField("grams", T.ArrayType(T.LongType())),
-        T.StructField("trained", T.ArrayType(T.LongType())),
+        T.StructField("models", T.ArrayType(T.StringType())), T.StructField("heads", T.ArrayType(T.LongType())),
+        T.StructField("tails", T.ArrayType(T.LongType())), T.StructField("trained", T.ArrayType(T.LongType())),
     ])
     schema["row"].nullable = True
     return stored_in_buckets(map_arrow(rows, _pass, schema), "batch")
 
 
 def batch_grams(passed: DataFrame) -> DataFrame:
-    """(batch, place, model, gram, trained): each n-gram of a batch once for each model."""
-    lists = F.posexplode(F.arrays_zip("models", "grams", "trained")).alias("place", "g")
-    return passed.filter("grams is not null").select("batch", lists).select(
-        "batch", "place", F.col("g.models").alias("model"), F.col("g.grams").alias("gram"), F.col("g.trained").alias("trained")
+    """(batch, place, model, head, tail, trained): each n-gram of a batch once for each model."""
+    lists = F.posexplode(F.arrays_zip("models", "heads", "tails", "trained")).alias("place", "g")
+    names = {"models": "model", "heads": "head", "tails": "tail", "trained": "trained"}
+    return passed.filter("heads is not null").select("batch", lists).select(
+        "batch", "place", *[F.col(f"g.{many}").alias(one) for many, one in names.items()]
     )
 
 
 def gram_counts(passed: DataFrame) -> DataFrame:
-    """(model, gram, count) over trusted rows; batches have summed theirs before the shuffle."""
-    return batch_grams(passed).filter("trained > 0").groupBy("model", "gram").agg(F.sum("trained").alias("count"))
+    """(model, head, tail, count) over trusted rows; batches have summed theirs before the shuffle."""
+    return batch_grams(passed).filter("trained > 0").groupBy("model", *GRAM).agg(F.sum("trained").alias("count"))
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
@@ -234,21 +251,20 @@ def _discounts(counts: DataFrame) -> DataFrame:
 
 
 def probabilities(counts: DataFrame) -> DataFrame:
-    """model, size, gram, p, backoff: for every seen n-gram of every order its interpolated probability, and as a
+    """model, size, head, tail, p, backoff: for every seen n-gram of every order its interpolated probability, and as a
     context of the next order the weight of what lies below it (null if it never is one)."""
     levels = {ORDER: counts}
     for size in range(ORDER - 1, 0, -1):
         # Continuation counts: how many different symbols stand before it.
-        suffix = (F.col("gram") % SYMBOLS**size).alias("gram")
-        levels[size] = levels[size + 1].select("model", suffix).groupBy("model", "gram").agg(
+        levels[size] = levels[size + 1].select("model", *last_symbols(size)).groupBy("model", *GRAM).agg(
             F.count(F.lit(1)).alias("count")
         )
     lower = counts.select("model").distinct().select(
-        "model", F.lit(0).cast("bigint").alias("gram"), F.lit(1.0 / SYMBOLS).alias("p")
+        "model", *[F.lit(0).cast("bigint").alias(c) for c in GRAM], F.lit(1.0 / SYMBOLS).alias("p")
     )
     done = []
     for size in range(1, ORDER + 1):
-        level = levels[size].withColumn("context", F.expr(f"gram div {SYMBOLS}"))
+        level = levels[size].select("*", F.struct(*context_symbols()).alias("context"))
         kinds = {k: F.sum(F.when(F.col("count") == k, 1).otherwise(0)) for k in (1, 2)}
         contexts = (
             level.groupBy("model", "context")
@@ -262,67 +278,67 @@ def probabilities(counts: DataFrame) -> DataFrame:
             .select("model", "context", "total", "backoff", "d1", "d2", "d3")
         )
         contexts = stored(contexts)
-        below = lower.select("model", F.col("gram").alias("suffix"), F.col("p").alias("p_below"))
+        below = lower.select("model", F.struct(*GRAM).alias("suffix"), F.col("p").alias("p_below"))
         discount = F.when(F.col("count") == 1, F.col("d1")).when(F.col("count") == 2, F.col("d2")).otherwise(F.col("d3"))
         p = F.greatest(F.col("count") - discount, F.lit(0.0)) / F.col("total") + F.col("backoff") * F.col("p_below")
         lower = stored(
-            level.withColumn("suffix", F.col("gram") % SYMBOLS ** (size - 1))
+            level.withColumn("suffix", F.struct(*last_symbols(size - 1)))
             .join(contexts, ["model", "context"]).join(below, ["model", "suffix"])
-            .select("model", "gram", p.alias("p"))
+            .select("model", *GRAM, p.alias("p"))
         )
         done.append((lower, contexts))
     rows = None
     for size, (level, _) in enumerate(done, 1):
-        table = level.select("model", F.lit(size).alias("size"), "gram", "p")
+        table = level.select("model", F.lit(size).alias("size"), *GRAM, "p")
         if size < ORDER:
-            weights = done[size][1].select("model", F.col("context").alias("gram"), "backoff")
-            table = table.join(weights, ["model", "gram"], "left")
+            weights = done[size][1].select("model", "context.*", "backoff")
+            table = table.join(weights, ["model", *GRAM], "left")
             # START never follows anything, so as a context it has no probability of its own.
-            extra = weights.join(level.select("model", "gram"), ["model", "gram"], "left_anti").select(
-                "model", F.lit(size).alias("size"), "gram", F.lit(None).cast("double").alias("p"), "backoff"
+            extra = weights.join(level.select("model", *GRAM), ["model", *GRAM], "left_anti").select(
+                "model", F.lit(size).alias("size"), *GRAM, F.lit(None).cast("double").alias("p"), "backoff"
             )
-            table = table.select("model", "size", "gram", "p", "backoff").unionByName(extra)
+            table = table.select("model", "size", *GRAM, "p", "backoff").unionByName(extra)
         else:
             table = table.withColumn("backoff", F.lit(None).cast("double"))
-        table = table.select("model", "size", "gram", "p", "backoff")
+        table = table.select("model", "size", *GRAM, "p", "backoff")
         rows = table if rows is None else rows.unionByName(table)
     uniform = done[0][1].select(
-        "model", F.lit(0).alias("size"), F.lit(0).cast("bigint").alias("gram"),
+        "model", F.lit(0).alias("size"), *[F.lit(0).cast("bigint").alias(c) for c in GRAM],
         F.lit(1.0 / SYMBOLS).alias("p"), "backoff",
     )
     return stored(rows.unionByName(uniform))
 
 
 def losses_of_grams(wanted: DataFrame, table: DataFrame, shares: DataFrame | None) -> DataFrame:
-    """(model, gram, nll) for the distinct (model, gram) of `wanted`, by joins with the sharded table, order by order."""
-    own = stored(wanted.select("model", "gram").distinct())
-    wanted = own.union(own.select(F.lit(POOLED).alias("model"), "gram")).distinct()
-    rows = wanted.withColumn("part", F.col("gram")).withColumn("found", F.lit(None).cast("double")).withColumn("weight", F.lit(1.0))
+    """(model, head, tail, nll) for the distinct (model, head, tail) of `wanted`, by joins with the sharded table, order by order."""
+    own = stored(wanted.select("model", *GRAM).distinct())
+    rows = own.union(own.select(F.lit(POOLED).alias("model"), *GRAM)).distinct().withColumn("found", F.lit(None).cast("double")).withColumn("weight", F.lit(1.0))
     for size in range(ORDER, -1, -1):
+        rows = rows.withColumn("part", F.struct(*last_symbols(size)))
         here = table.filter(F.col("size") == size).select(
-            "model", F.col("gram").alias("part"), F.col("p").alias("p_here")
+            "model", F.struct(*GRAM).alias("part"), F.col("p").alias("p_here")
         )
         rows = rows.join(here, ["model", "part"], "left").withColumn(
             "found", F.coalesce("found", F.col("weight") * F.col("p_here"))
         ).drop("p_here")
         if size:
             below = table.filter(F.col("size") == size - 1).select(
-                "model", F.col("gram").alias("context"), F.col("backoff").alias("b")
+                "model", F.struct(*GRAM).alias("context"), F.col("backoff").alias("b")
             )
             rows = (
-                rows.withColumn("context", F.expr(f"part div {SYMBOLS}")).join(below, ["model", "context"], "left")
+                rows.withColumn("context", F.struct(*context_symbols(last_symbols(size)))).join(below, ["model", "context"], "left")
                 .withColumn("weight", F.when(F.col("found").isNull(), F.col("weight") * F.coalesce("b", F.lit(1.0))).otherwise(F.col("weight")))
-                .withColumn("part", F.col("part") % SYMBOLS ** (size - 1)).drop("b", "context")
+                .drop("b", "context")
             )
-    rows = stored(rows.select("model", "gram", "found"))
-    pooled = rows.filter(F.col("model") == POOLED).select("gram", F.col("found").alias("pooled"))
+    rows = stored(rows.select("model", *GRAM, "found"))
+    pooled = rows.filter(F.col("model") == POOLED).select(*GRAM, F.col("found").alias("pooled"))
     if shares is None:
         rows = rows.withColumn("share", F.lit(0.5))
     else:
         rows = rows.join(shares, "model", "left")
     share = F.when(F.col("found").isNull(), 0.0).otherwise(F.coalesce("share", F.lit(0.0)))
     p = share * F.coalesce("found", F.lit(0.0)) + (1 - share) * F.col("pooled")
-    return rows.join(pooled, "gram").select("model", "gram", (-F.log(p)).alias("nll"))
+    return rows.join(pooled, GRAM).select("model", *GRAM, (-F.log(p)).alias("nll"))
 
 
 def _sum_batch(docs: pa.Table, found: pa.Table) -> pa.Table:
@@ -344,9 +360,9 @@ def score_by_join(passed: DataFrame, table: DataFrame, shares: DataFrame | None
     the pooled one's; without it half. A model that the table does not have leaves all to the pooled one.
     """
     share_package(passed.sparkSession)
-    grams = batch_grams(passed).select(F.col("batch").alias("asking"), "place", "model", "gram")
-    found = grams.join(losses_of_grams(grams, table, shares), ["model", "gram"]).select("asking", "place", "nll")
-    rows = passed.filter("grams is null").select("batch", "row", "symbols", "steps", "times")
+    grams = batch_grams(passed).select(F.col("batch").alias("asking"), "place", "model", *GRAM)
+    found = grams.join(losses_of_grams(grams, table, shares), ["model", *GRAM]).select("asking", "place", "nll")
+    rows = passed.filter("heads is null").select("batch", "row", "symbols", "steps", "times")
     schema = T.StructType([passed.schema["row"], T.StructField("symbols", T.LongType()), T.StructField("loss", T.DoubleType())])
     return rows.groupBy("batch").cogroup(found.groupBy("asking")).applyInArrow(_sum_batch, schema)
 
@@ -434,7 +450,7 @@ def with_trust(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def _estimated(passed: DataFrame, sizes: DataFrame) -> QualityModel:
     """Probabilities and shares from the trusted rows of a pass; `sizes` has n trusted documents per model."""
     by_model = stored(gram_counts(passed))
-    pooled_counts = by_model.groupBy(F.lit(POOLED).alias("model"), "gram").agg(F.sum("count").alias("count"))
+    pooled_counts = by_model.groupBy(F.lit(POOLED).alias("model"), *GRAM).agg(F.sum("count").alias("count"))
     table = probabilities(stored(by_model.filter(F.col("model") != POOLED).unionByName(pooled_counts)))
     shares = stored(sizes.filter(F.col("model") != POOLED).select(
         "model", (own_share(F.col("n")) / 2).alias("share"), own_share(F.col("n")).alias("own")
@@ -487,7 +503,7 @@ def fit_and_score(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tup
     ) else None
     if passed is None:
         raise ValueError("text, model and trusted are no columns to carry")
-    trusted = passed.filter("grams is null").filter(F.col("row")[TRUST])
+    trusted = passed.filter("heads is null").filter(F.col("row")[TRUST])
     sizes = trusted.groupBy(model_of(F.col("row.lang")).alias("model")).agg(F.count(F.lit(1)).alias("n"))
     model = _estimated(passed, sizes)
     scored = stored(score_by_join(passed, model.table, model.shares))

@@ -53,3 +53,23 @@ def test_share_grows_smoothly(spark):
     shares = [r["s"] for r in spark.range(0, 1000).select(kn.own_share(F.col("id")).alias("s")).orderBy("id").collect()]
     assert shares[0] == 0 and shares[kn.EVEN_TRUSTED] == 0.5
     assert all(0 < b - a < 0.02 for a, b in zip(shares, shares[1:]))
+
+
+def test_every_character_is_a_symbol(spark):
+    """Capitals, digits and letters that shared a class (A and B, а and м) are told apart, beyond the BMP too."""
+    assert kn.symbol_of(ord("7")) == kn.symbol_of(ord("٣")) == kn.symbol_of(ord("0"))
+    codes = [0, 10, 32, *map(ord, "ABab1éßамжя漢字€😀"), 0x10FFFF]
+    assert len({kn.symbol_of(c) for c in codes} | {kn.START}) == len(codes) + 1
+    docs = spark.createDataFrame([(1, "x", "AB12 амж😀 " * 40, True), (2, "x", "BA21 маж😁 " * 40, False)], "doc_id long, lang string, text string, trusted boolean")
+    passed = kn.counted(docs.withColumn("model", F.lit("m")), ["doc_id"])
+    grams = kn.batch_grams(passed).select("head", "tail").collect()
+    spelled = {tuple((r[c] >> s) & (1 << kn.BITS) - 1 for c in kn.GRAM for s in (kn.BITS, 0)) for r in grams}
+    expected = set()
+    for text in ("AB12 амж😀 " * 40, "BA21 маж😁 " * 40):
+        symbols = [kn.START] * 3 + [ord("0" if c in "12" else c) + 1 for c in text]
+        expected |= {tuple(symbols[i : i + 4]) for i in range(len(text))}
+    assert spelled == expected and len(grams) == len(expected)
+    counts = kn.gram_counts(passed)
+    table = kn.probabilities(counts.unionByName(counts.withColumn("model", F.lit(kn.POOLED))))
+    loss = {r["row"]["doc_id"]: r["loss"] for r in kn.score_by_join(passed, table).collect()}
+    assert loss[2] > 4 * loss[1]  # the same text to a model of classes
