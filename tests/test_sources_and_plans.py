@@ -174,3 +174,17 @@ def test_registry():
     without_sql = {"pd_model_metrics", "lgd_model_metrics", "ccf_model_metrics", "pd_calibrated_metrics", "pd_calibration_before_after"}
     # The operators for training text are registered on top and tested in their own folder.
     assert set(QUERIES) <= set(queries) and set(QUERIES) - set(oracles) == without_sql
+
+
+def test_generated_methods_stay_small(spark):
+    """Methods beyond 8,000 bytes are never compiled; a limit that the session names stays."""
+    before = spark.conf.get(session.METHOD_SETTING)
+    try:
+        spark.conf.set(session.METHOD_SETTING, session.SPARKS_METHOD_BYTES)
+        QUERIES["stress_facility"].run(spark, SMALL)
+        assert int(spark.conf.get(session.METHOD_SETTING)) <= 8000
+        spark.conf.set(session.METHOD_SETTING, "20000")
+        QUERIES["stress_facility"].run(spark, SMALL)
+        assert spark.conf.get(session.METHOD_SETTING) == "20000"
+    finally:
+        spark.conf.set(session.METHOD_SETTING, before)
