@@ -30,11 +30,11 @@ def column_totals(df: DataFrame, table: str) -> DataFrame:
 
 
 def csv_round_trip(raw: Mapping[str, DataFrame]) -> DataFrame:
-    """The nine raw tables written as CSV and read with their schemas."""
+    """The nine raw tables written as compressed CSV and read with their schemas; a file is what one task wrote."""
     spark = raw["companies"].sparkSession
     folder = new_folder(spark, "csv")
     for name in RAW_TABLES:
-        raw[name].select(*raw_columns(name)).write.option("header", True).csv(f"{folder}/{name}.csv")
+        raw[name].select(*raw_columns(name)).write.option("header", True).option("compression", "snappy").csv(f"{folder}/{name}.csv")
     again = read_raw_csv(spark, folder)
     return reduce(DataFrame.unionByName, [column_totals(again[name], name) for name in RAW_TABLES])
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as spark_entry
 from lossledger import session
 from lossledger.operators import marts, rollups, staging
+from lossledger.plans import source_checks
 from lossledger.plans.catalog import QUERIES, Frames
 from lossledger.sources import publication, readers, writers
 from lossledger.sources.portfolio import REPORTING_DATE, Portfolio
@@ -188,3 +189,11 @@ def test_generated_methods_stay_small(spark):
         assert spark.conf.get(session.METHOD_SETTING) == "20000"
     finally:
         spark.conf.set(session.METHOD_SETTING, before)
+
+
+def test_csv_round_trip_is_compressed(spark, raw, tmp_path, monkeypatch):
+    monkeypatch.setattr(source_checks, "new_folder", lambda *_: str(tmp_path))
+    found = {(r["table"], r["column"]): r["filled"] for r in source_checks.csv_round_trip(raw).collect()}
+    assert found["payments", "payment_id"] == raw["payments"].count()
+    written = [p.name for p in tmp_path.rglob("part-*")]
+    assert written and all(name.endswith(".csv.snappy") for name in written)
