@@ -186,6 +186,19 @@ def _pairs_with_pivot(seats: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _pairs_with_best_pivot(seats: DataFrame, percent: int) -> DataFrame:
+    """As `_pairs_with_pivot`, but a member meets only the best of the pivots of its keys: one pair a member at most,
+    however many keys a large group of copies shares."""
+    best = F.min(F.struct("own", "class", "n", "component"))
+    pivot = seats.groupBy("key").agg(best.alias("p"))
+    met = seats.join(pivot, "key").groupBy("class").agg(
+        F.first("n").alias("n"), F.first("own").alias("own"), F.min("p").alias("p")
+    )
+    return met.filter(F.col("class") != F.col("p.class")).filter(
+        _possible(percent, F.col("n"), F.col("own"), F.col("p.n"), F.col("p.own"))
+    ).select(F.col("class").alias("a"), F.col("p.class").alias("b"))
+
+
 def linked_classes(docs: DataFrame, rows: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """node, component over classes with a link to another class."""
     half = halves_for(percent)
@@ -219,29 +232,38 @@ def linked_classes(docs: DataFrame, rows: DataFrame, sets: DataFrame, size: int,
     )
     nodes = stored(survivors.join(active, "class"))
 
-    tables = nodes.select("class", "n", "own", F.explode("one").alias("h"), "two").select(
-        "class", "n", "own", F.col("class").alias("component"), "h", F.explode("two").alias("g")
+    def placed(found: DataFrame) -> DataFrame:
+        """`nodes` with their component so far."""
+        found = found.withColumnRenamed("node", "class")
+        return nodes.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+    def grown(found: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Components after the links among `pairs`. What is known is an edge per node, so all links so far are never
+        walked again."""
+        known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return components(known.union(verified(pairs, members, percent)))
+
+    single = nodes.select("class", "n", "own", F.col("class").alias("component"), F.explode("one").alias("key"))
+    found = components(verified(_pairs_with_best_pivot(single, percent), members, percent))
+
+    tables = placed(found).select("class", "n", "own", "component", F.explode("one").alias("h"), "two").select(
+        "class", "n", "own", "component", "h", F.explode("two").alias("g")
     ).withColumn("key", F.xxhash64("h", "g")).drop("h", "g")
-    edges = verified(_pairs_with_pivot(tables, percent), members, percent)
+    found = grown(found, _pairs_with_pivot(tables, percent))
 
-    def seats(edges: DataFrame) -> DataFrame:
+    def seats(found: DataFrame) -> DataFrame:
         """Members by key of the first collection (each table is inside one), with their component so far; only
         keys that still have several components."""
-        found = components(edges).withColumnRenamed("node", "class")
-        now = nodes.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        by_key = now.select("class", "n", "own", "component", F.explode("one").alias("key"))
+        by_key = placed(found).select("class", "n", "own", "component", F.explode("one").alias("key"))
         head = by_key.groupBy("key").agg(
             F.min(F.struct("own", "class", "component")).alias("p"), F.min("component").alias("low"),
             F.max("component").alias("high"),
         ).filter("low <> high").select("key", F.col("p.component").alias("main"), F.col("p.class").alias("pivot"))
         return stored(by_key.join(head, "key"))
 
-    open_seats = seats(edges)
-    loose = open_seats.filter("component <> main").drop("main", "pivot")
-    edges = edges.union(verified(_pairs_with_pivot(loose, percent), members, percent))
-
-    rest = _pairs_past_pivot(seats(edges), members, percent)
-    return components(edges.union(verified(rest, members, percent)))
+    loose = seats(found).filter("component <> main").drop("main", "pivot")
+    found = grown(found, _pairs_with_pivot(loose, percent))
+    return grown(found, _pairs_past_pivot(seats(found), members, percent))
 
 
 def _pairs_past_pivot(open_seats: DataFrame, members: DataFrame, percent: int) -> DataFrame:

@@ -61,3 +61,25 @@ def test_as_many_keys_as_the_limit_needs():
     for percent in (50, 80, 85, 95):
         s, halves = percent / 100, near_dedup.halves_for(percent)
         assert 1 - (1 - (1 - s**near_dedup.HALF_SIZE) ** halves) ** 2 < near_dedup.MISS
+
+
+def test_links_of_a_large_group_stay_in_proportion_to_its_members(spark, monkeypatch):
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(6))
+    base, texts = [word() for _ in range(120)], []
+    for _ in range(150):
+        copy = list(base)
+        for at in draw.sample(range(120), 2):
+            copy[at] = word()
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    walked, components = [], near_dedup.components
+
+    def counted(edges):
+        walked.append(edges.count())
+        return components(edges)
+
+    monkeypatch.setattr(near_dedup, "components", counted)
+    kept = {r["doc_id"] for r in near_dedup.near_duplicates(docs, 5, 80).filter("kept").collect()}
+    assert kept == kept_expected(list(enumerate(texts)), 5, 80)
+    assert max(walked) <= len(texts)
