@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Of stored tables, which are written once and take the disk until the application ends.
+CODEC = "zstd"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _local_dirs: dict[str, str] = {}
@@ -50,7 +52,7 @@ def stored(df: DataFrame) -> DataFrame:
     application ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lossledger-llm/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", CODEC).parquet(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
@@ -65,7 +67,7 @@ def stored_in_buckets(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     name = f"lossledger_llm_{uuid.uuid4().hex}"
     path = f"{shared_dir(spark)}/lossledger-llm/{spark.sparkContext.applicationId}/{name}"
-    df.write.format("parquet").bucketBy(shuffle_partitions(spark), key).option("path", path).saveAsTable(name)
+    df.write.format("parquet").option("compression", CODEC).bucketBy(shuffle_partitions(spark), key).option("path", path).saveAsTable(name)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.table(name)

@@ -73,3 +73,21 @@ def test_every_character_is_a_symbol(spark):
     table = kn.probabilities(counts.unionByName(counts.withColumn("model", F.lit(kn.POOLED))))
     loss = {r["row"]["doc_id"]: r["loss"] for r in kn.score_by_join(passed, table).collect()}
     assert loss[2] > 4 * loss[1]  # the same text to a model of classes
+
+
+def test_many_texts_share_one_list_of_grams(spark):
+    text = "seven words that make up this line " * 26_000
+    docs = spark.range(12).coalesce(1).select(
+        F.col("id").alias("doc_id"), F.lit(text).alias("text"), F.lit("=en").alias("model"), F.lit(False).alias("trusted")
+    )
+    passed = kn.counted(docs, ["doc_id"])
+    assert passed.filter("heads is not null").count() == 1 and passed.filter("heads is null").count() == 12
+    assert all(name.endswith(".zstd.parquet") for name in passed.inputFiles())
+
+
+def test_packed_numbers_are_small_and_come_back():
+    draw = random.Random(4)
+    values = kn.np.array([min(int(draw.expovariate(0.7)) + 1, 300) for _ in range(2000)])
+    for some in (values, values * 1000, values[:0], values[:1]):
+        assert (kn.unpacked(kn.packed(some)) == some).all()
+    assert len(kn.packed(values)) < 700
