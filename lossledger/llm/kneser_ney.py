@@ -37,6 +37,7 @@ PRIOR = 200
 LOW_QUANTILE, HIGH_QUANTILE = 0.0005, 0.998
 #: The quantiles' distances from the mean are widened by this: training text is easier for the model than other text.
 MARGIN = 1.25
+LAST_BITS = 1e-12
 #: Characters that are counted at once, and whose rows share one list of n-grams.
 STEP_SYMBOLS, BATCH_SYMBOLS = 1_000_000, 16_000_000
 BROADCAST_IDS = 5_000_000
@@ -393,7 +394,8 @@ class QualityModel:
         known = scored.join(self.limits, "model", "left")
         mean, low, high = [F.coalesce(c, F.lit(v)) for c, v in zip(("__mean", "__low", "__high"), self.pooled)]
         made = known.withColumns({"perplexity": F.exp(_pulled(mean)), "low": F.exp(low), "high": F.exp(high)})
-        outside = (F.col("perplexity") < F.col("low")) | (F.col("perplexity") > F.col("high"))
+        # A text that lies on a limit, as an only trusted one does, is inside whatever the last bits of its sums are.
+        outside = (F.col("perplexity") < F.col("low") * (1 - LAST_BITS)) | (F.col("perplexity") > F.col("high") * (1 + LAST_BITS))
         return made.withColumn("rejected", F.coalesce(outside, F.lit(False))).drop("__mean", "__low", "__high")
 
     def keep(self, docs: DataFrame) -> DataFrame:

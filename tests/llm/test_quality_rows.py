@@ -91,3 +91,10 @@ def test_packed_numbers_are_small_and_come_back():
     for some in (values, values * 1000, values[:0], values[:1]):
         assert (kn.unpacked(kn.packed(some)) == some).all()
     assert len(kn.packed(values)) < 700
+
+
+def test_a_text_on_the_limits_is_not_rejected(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, text, "en"), (2, text, "en"), (3, None, "en"), (4, "", "en")], DOCS)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    assert kn.keep_good(docs, labels).count() == 4
