@@ -11,8 +11,10 @@ How the work stays bounded when a group of copies is huge:
   and tables are formed only from the rest;
 * a class whose set has more than 100 - `percent` % of shingles that occur in no other candidate cannot have a link
   (exact);
-* in a table all members are compared with one pivot, the member with the fewest shingles of its own; verified links
-  are contracted to components, and only members that are not yet with the pivot are compared further: with a
+* a class first meets the best of the pivots of its keys alone, at most one pair a class; what is known so far is kept as
+  an edge per class, never as all links;
+* in a table all members that are not yet together are then compared with one pivot, the member with the fewest
+  shingles of its own; verified links are contracted to components, and only members that are not yet with the pivot are compared further: with a
   second pivot, then with every member of another component that shares a shingle outside the pivot's set with it,
   or whose known overlap with the pivot leaves a link possible (exact bounds). Links inside a component are implied
   and never listed; no link between components is left out.
