@@ -5,12 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lossledger.session import map_arrow, share_package  # noqa: F401
+
 #: Of stored tables, which are written once and take the disk until the application ends.
 CODEC = "zstd"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,20 +73,6 @@ def stored_in_buckets(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
-def share_package(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it, also if it is not installed there and the
-    driver runs in another folder. On a cluster it is installed or shipped with --py-files."""
-    root, variables = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    paths = [p for p in variables.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        variables["PYTHONPATH"] = os.pathsep.join([*paths, root])
-
-
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    share_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
-
-
 def with_keys(docs: DataFrame) -> DataFrame:
     """Every row of `docs` as the struct `row`, so that its columns may have any name, with what names it: id and
     no_id (doc_id of any type, null or not) and digest (of its text)."""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lossledger.operators.ordering import ordered_ranges, running_totals
-from lossledger.session import materialize
+from lossledger.session import map_arrow, materialize
 
 RANGE_BLOCKS = 200_000
 #: Of a block: lowest and highest margin, weight, weighted sum of labels.
@@ -77,7 +77,7 @@ def fit_blocks(blocks: DataFrame, range_blocks: int = RANGE_BLOCKS) -> DataFrame
         if ranges > 1:
             ranges += rounds
         dealt = blocks.select("low", "high", "weight", "total").repartitionByRange(ranges, "low").sortWithinPartitions("low")
-        blocks = materialize(dealt.mapInArrow(_pool_ranges, BLOCK).withColumn("_range", F.spark_partition_id()))
+        blocks = materialize(map_arrow(dealt, _pool_ranges, BLOCK).withColumn("_range", F.spark_partition_id()))
         if ranges == 1 or not _falls(blocks):
             return blocks.drop("_range").withColumn("value", F.col("total") / F.col("weight"))
         rounds += 1

@@ -8,7 +8,8 @@ aggregate equal keys first or append a unique tie key.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import accumulate
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from lossledger.operators import columns
 from lossledger.session import materialize
 
 # monotonically_increasing_id puts the partition number above the lower 33 bits.
@@ -89,10 +91,20 @@ def quantiles(
     a list of columns (NULL where a group has fewer). Equal values are counted before anything is
     ordered. Missing values are left out.
     """
-    group = list(group)
     if not group:
         raise ValueError("quantiles need a group to join by")
     counted = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
+    return counted_quantiles(counted, group, value, fractions)
+
+
+def counted_quantiles(
+    counted: DataFrame,
+    group: Sequence[str],
+    value: str,
+    fractions: Sequence[float] | Callable[[Column], Sequence[Column]],
+) -> DataFrame:
+    """`quantiles` of values that are counted already: a row per group and value, with `n`."""
+    group = list(group)
     ranges = ordered_ranges(counted, group, [value])
     sizes = ranges.groupBy(*group).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"))
     wanted = fractions(F.col("distinct")) if callable(fractions) else [F.lit(float(q)) for q in fractions]
@@ -128,38 +140,45 @@ def count_below(value: Column, edges: str, size: int) -> Column:
     return reduce(Column.__add__, [F.when(F.get(edges, F.lit(i)) < value, 1).otherwise(0) for i in range(size)])
 
 
-def unpivot_numeric(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Long form of numeric columns: ids, feature, value (double)."""
-    values = F.array(*[F.col(c).cast("double") for c in columns])
-    long = df.select(*ids, F.posexplode(values).alias("_position", "value"))
-    name = F.element_at(F.lit(list(columns)), F.col("_position") + 1)
-    return long.select(*ids, name.alias("feature"), "value")
-
-
 BRACKET_ACCURACY = 10_000
 
 
-def quantile_brackets(
-    df: DataFrame, columns: Sequence[str], fractions: Sequence[float]
-) -> dict[str, list[tuple[float, float]]]:
-    """Per column disjoint ascending intervals that hold the order statistics around each fraction.
+def key_brackets(df: DataFrame, names: Sequence[str], fractions: Sequence[float]) -> dict[str, list[tuple[int, int]]]:
+    """Per column disjoint ascending intervals of `columns.order_keys` that hold the order statistics around each fraction.
 
-    One approximate aggregate over all columns; its ranks are off by at most rows / BRACKET_ACCURACY, so an interval
-    of twice that to either side is safe from 2 x BRACKET_ACCURACY values on. Columns with fewer have no intervals.
-    The driver gets two numbers per column and fraction.
+    Values are counted by the leading bits of their keys, then by further bits where a wanted rank lies: two passes, and
+    the ranks are exact. Columns with fewer than 2 x BRACKET_ACCURACY values have no intervals.
     """
-    margin = 2 / BRACKET_ACCURACY
-    wanted = [x for q in fractions for x in (max(0.0, q - margin), min(1.0, q + margin))]
-    found = df.agg(
-        *[F.count(F.col(c).cast("double")).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(F.col(c).cast("double"), wanted, BRACKET_ACCURACY).alias(f"q{i}") for i, c in enumerate(columns)],
-    ).first()
-    brackets: dict[str, list[tuple[float, float]]] = {}
-    for i, c in enumerate(columns):
+    first = columns.prefix_counts(df, names)
+    sizes = [sum(counts.values()) for counts in first]
+    ranks = [
+        [(math.floor(q * (n - 1)), math.ceil(q * (n - 1))) for q in fractions] if n >= 2 * BRACKET_ACCURACY else []
+        for n in sizes
+    ]
+    if not any(ranks):
+        return {c: [] for c in names}
+
+    def placed(counts: Mapping[int, int], rank: int, before: int = 0) -> tuple[int, int]:
+        """The prefix that holds a 0-based rank, and how many values lie before it."""
+        for prefix, n in sorted(counts.items()):
+            if rank < before + n:
+                return prefix, before
+            before += n
+        raise ValueError(f"rank {rank} is beyond the values")
+
+    heads = [{r: placed(counts, r) for pair in wanted for r in pair} for counts, wanted in zip(first, ranks)]
+    following = columns.prefix_counts(df, names, [{prefix for prefix, _ in found.values()} for found in heads])
+    rest = 64 - columns.FIRST_BITS - columns.NEXT_BITS
+    brackets: dict[str, list[tuple[int, int]]] = {}
+    for c, wanted, found, counts in zip(names, ranks, heads, following):
+        def bucket(rank: int) -> int:
+            prefix, before = found[rank]
+            own = {p: n for p, n in counts.items() if p >> columns.NEXT_BITS == prefix}
+            return placed(own, rank, before)[0]
+
         brackets[c] = []
-        if found[f"n{i}"] < 2 * BRACKET_ACCURACY:
-            continue
-        for low, high in sorted(zip(found[f"q{i}"][::2], found[f"q{i}"][1::2])):
+        for low, high in sorted({(bucket(a) << rest, (bucket(b) + 1 << rest) - 1) for a, b in wanted}):
+            low, high = max(low, columns.LOWEST_KEY), min(high, columns.HIGHEST_KEY)
             if brackets[c] and low <= brackets[c][-1][1]:
                 brackets[c][-1] = (brackets[c][-1][0], max(high, brackets[c][-1][1]))
             else:
@@ -167,30 +186,29 @@ def quantile_brackets(
     return brackets
 
 
-def feature_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+def quantile_brackets(
+    df: DataFrame, names: Sequence[str], fractions: Sequence[float]
+) -> dict[str, list[tuple[float, float]]]:
+    """`key_brackets` as intervals of values."""
+    return {
+        c: [tuple(columns.key_values(pair).tolist()) for pair in pairs] for c, pairs in key_brackets(df, names, fractions).items()
+    }
+
+
+def feature_quantiles(df: DataFrame, names: Sequence[str], fractions: Sequence[float]) -> DataFrame:
     """Exact quantiles of whole columns: feature, fraction, quantile.
 
     Values outside the brackets are moved to the edge of the next one. That keeps their order and leaves the order
     statistics inside as they are, and all that has to be counted and ordered are the few values within brackets.
     """
-    long = unpivot_numeric(df, [], columns)
-    brackets = [(c, [b[0] for b in bs], [b[1] for b in bs]) for c, bs in quantile_brackets(df, columns, fractions).items() if bs]
-    if brackets:
-        table = df.sparkSession.createDataFrame(brackets, "feature string, _lows array<double>, _highs array<double>")
-        value = F.col("value")
-        # One row per column.
-        edged = long.join(F.broadcast(table), "feature", "left")
-        most = max(len(b[1]) for b in brackets)
-        at = count_below(value, "_highs", most)
-        moved = F.coalesce(F.greatest(value, F.get("_lows", at)), F.element_at("_highs", -1))
-        long = edged.select("feature", F.when(F.col("_lows").isNull() | value.isNull(), value).otherwise(moved).alias("value"))
-    return quantiles(long, ["feature"], "value", fractions)
-
-
-def column_quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> dict[str, dict[float, float]]:
+    counted = columns.value_counts(df, names, key_brackets(df, names, fractions))
+    return counted_quantiles(counted, ["feature"], "value", fractions)
+
+
+def column_quantiles(df: DataFrame, names: Sequence[str], fractions: Sequence[float]) -> dict[str, dict[float, float]]:
     """Exact quantiles of whole columns on the driver: one number per column and fraction."""
-    rows = feature_quantiles(df, columns, fractions).collect()
-    found: dict[str, dict[float, float]] = {c: {} for c in columns}
+    rows = feature_quantiles(df, names, fractions).collect()
+    found: dict[str, dict[float, float]] = {c: {} for c in names}
     for row in rows:
         found[row["feature"]][row["fraction"]] = row["quantile"]
     return found

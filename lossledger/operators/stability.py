@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lossledger.operators.ordering import count_below, feature_quantiles, unpivot_numeric
+from lossledger.operators.columns import bin_counts
+from lossledger.operators.ordering import feature_quantiles
 
 EPSILON = 1e-6
 INFINITY = float("inf")
@@ -33,19 +34,15 @@ def psi_details(expected: DataFrame, actual: DataFrame, features: Sequence[str],
             .alias("_inner"),
         )
     )
-    sides = unpivot_numeric(expected, [], present).withColumn("_expected", F.lit(1)).unionByName(
-        unpivot_numeric(actual, [], present).withColumn("_expected", F.lit(0))
-    )
-    value = F.col("value")
-    bin_number = F.when(value.isNotNull(), 1 + count_below(value, "_inner", bins - 1)).otherwise(0)
     # Cut points: one row per feature.
-    counts = (
-        sides.join(F.broadcast(cuts), "feature", "left")
-        .groupBy("feature", bin_number.alias("bin"))
-        .agg(
-            F.sum("_expected").alias("expected_count"),
-            F.sum(1 - F.col("_expected")).alias("actual_count"),
-        )
+    inner = {r["feature"]: r["_inner"] for r in cuts.collect()}
+    cuts = expected.sparkSession.createDataFrame(list(inner.items()), "feature string, _inner array<double>")
+    count, none = F.col("n"), F.lit(0).cast("bigint")
+    sides = bin_counts(expected, present, inner).select("feature", "bin", count.alias("expected_count"), none.alias("actual_count")).unionByName(
+        bin_counts(actual, present, inner).select("feature", "bin", none.alias("expected_count"), count.alias("actual_count"))
+    )
+    counts = sides.groupBy("feature", "bin").agg(
+        F.sum("expected_count").alias("expected_count"), F.sum("actual_count").alias("actual_count")
     )
     # From here on the rows are features x bins.
     by_feature = counts.groupBy("feature").agg(
