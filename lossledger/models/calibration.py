@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,18 +14,32 @@ from pyspark.sql import functions as F
 from lossledger.models import isotonic, sigmoid
 from lossledger.models.preprocessing import SCALED, fit_preprocessor, typed_features
 from lossledger.models.training import PD_SPEC, estimators, prepare, with_label
-from lossledger.operators import metrics, splitting
+from lossledger.operators import backtesting, metrics, splitting
 from lossledger.session import materialize
 
 METHODS = ["sigmoid", "isotonic"]
+#: What says that a method cannot be fitted on its rows, or that there is no such method.
+UNFITTED = (ValueError, ArithmeticError, LookupError, RuntimeError)
+#: What says that Spark did not do its work: a lost job is no property of a method, and the whole run fails with it.
+BROKEN_RUN = (PySparkException, Py4JError)
 
 
 @dataclass(frozen=True)
 class CalibrationResult:
-    """Out-of-time metrics per method, and the long out-of-time scores: model, predicted_pd, target."""
+    """Out-of-time metrics per method, the long out-of-time scores (model, predicted_pd, target), and the reason of each
+    method that could not be fitted."""
 
     metrics: DataFrame
     scores: DataFrame
+    failed: Mapping[str, str] = field(default_factory=dict)
+
+    def before_after(self) -> DataFrame:
+        """Calibration by score bin. A method that could not be fitted has a row without bin and figures, and the reason."""
+        report = backtesting.calibration_by_score_bin(self.scores)
+        if not self.failed:
+            return report
+        missing = self.scores.sparkSession.createDataFrame(list(self.failed.items()), "model string, error string")
+        return report.withColumn("error", F.lit(None).cast("string")).unionByName(missing, allowMissingColumns=True)
 
 
 def fit_sigmoid(valid: DataFrame, margin: str = "margin", label: str = "label"):
@@ -35,6 +51,8 @@ def fit_sigmoid(valid: DataFrame, margin: str = "margin", label: str = "label"):
 def fit_isotonic(valid: DataFrame, margin: str = "margin", label: str = "label"):
     """Rising steps over the margin."""
     steps = isotonic.fit(valid, margin, label)
+    if steps.isEmpty():
+        raise ValueError("no rows to calibrate on")
     return lambda rows: isotonic.calibrated(rows, steps, margin)
 
 
@@ -47,16 +65,19 @@ def calibrate_margins(
     """Compare the raw probability with each calibration of its margin.
 
     Both frames have margin, label and raw (probability) columns. A method that cannot be fitted
-    gets a row without metrics and the reason.
+    gets a row without metrics and the reason. A failure of Spark is raised: rows without a method
+    would look like a result.
     """
     spark = oot.sparkSession
     scored = {"raw": oot.withColumn("calibrated", F.col("raw"))}
-    failed: list[tuple[str, str]] = []
+    failed: dict[str, str] = {}
     for method in methods:
         try:
             scored[method] = FITTERS[method](valid)(oot)
-        except Exception as error:
-            failed.append((method, str(error)))
+        except BROKEN_RUN:
+            raise
+        except UNFITTED as error:
+            failed[method] = str(error)
     parts = [
         rows.select(
             F.lit(method).alias("model"), F.col("calibrated").alias("predicted_pd"), F.col("label").cast("int").alias(target)
@@ -72,7 +93,7 @@ def calibrate_margins(
     if failed:
         report = report.withColumn("error", F.lit(None).cast("string"))
         facts = oot.agg(F.count(F.lit(1)).alias("rows"), F.avg("label").alias("rate")).first()
-        missing = spark.createDataFrame(failed, "model string, error string").select(
+        missing = spark.createDataFrame(list(failed.items()), "model string, error string").select(
             "*", F.lit(facts["rows"]).alias("rows"), F.lit(facts["rate"]).alias("observed_default_rate")
         )
         report = report.unionByName(missing, allowMissingColumns=True)
@@ -87,7 +108,7 @@ def calibrate_margins(
         }
     )
     head = ["model", "calibration_method", "split", "rows"]
-    return CalibrationResult(named.select(*head, *[c for c in report.columns if c not in head]), scores)
+    return CalibrationResult(named.select(*head, *[c for c in report.columns if c not in head]), scores, failed)
 
 
 def calibrate_pd(sample: DataFrame, methods: Sequence[str] = METHODS, max_fit_rows: int | None = None) -> CalibrationResult:

@@ -673,6 +673,6 @@ QUERIES: dict[str, Query] = {
     ),
     "pd_calibrated_metrics": Query(lambda f: calibration.calibrate_pd(marts.pd_sample(f.mart)).metrics),
     "pd_calibration_before_after": Query(
-        lambda f: backtesting.calibration_by_score_bin(calibration.calibrate_pd(marts.pd_sample(f.mart)).scores)
+        lambda f: calibration.calibrate_pd(marts.pd_sample(f.mart)).before_after()
     ),
 }

@@ -192,7 +192,7 @@ def run_calibration(stored: Mapping[str, DataFrame], out: str) -> None:
         out,
         {
             "pd_model_metrics_calibrated": result.metrics,
-            "pd_calibration_before_after": backtesting.calibration_by_score_bin(result.scores),
+            "pd_calibration_before_after": result.before_after(),
         },
     )
 

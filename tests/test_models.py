@@ -5,6 +5,8 @@ import random
 
 import numpy as np
 import pytest
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkRuntimeError
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -156,3 +158,24 @@ def test_failed_method_keeps_its_row(spark, monkeypatch):
     assert row["roc_auc"] is None and row["error"] == "cannot fit" and row["rows"] == 200
     assert row["observed_default_rate"] is not None
     assert result.scores.select("model").distinct().count() == 2
+
+
+@pytest.mark.parametrize("error", [Py4JError("job aborted"), PySparkRuntimeError("task failed"), MemoryError(), AttributeError("no such name")])
+def test_a_failed_run_is_no_result(spark, monkeypatch, error):
+    def lost(_):
+        raise error
+    monkeypatch.setitem(calibration.FITTERS, "isotonic", lost)
+    with pytest.raises(type(error)):
+        calibration.calibrate_margins(margins(spark, 50, 1), margins(spark, 50, 2))
+
+
+def test_failed_methods_stay_in_the_report(spark):
+    """Without rows to calibrate on neither method is left out, nor scored without a value."""
+    nothing, oot = margins(spark, 200, 1).filter("label is null"), margins(spark, 200, 2)
+    result = calibration.calibrate_margins(nothing, oot)
+    assert result.failed == dict.fromkeys(calibration.METHODS, "no rows to calibrate on")
+    report = result.before_after().collect()
+    assert {r["model"]: r["error"] for r in report if r["pd_decile"] is None} == result.failed
+    assert sum(r["facilities"] for r in report if r["model"] == "raw") == 200
+    whole = calibration.calibrate_margins(margins(spark, 300, 1), oot).before_after()
+    assert "error" not in whole.columns and {r["model"] for r in whole.collect()} == {"raw", *calibration.METHODS}
