@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,35 +39,30 @@ def asof_join(
 ) -> DataFrame:
     """Left join each history's latest row dated on or before `left_on`.
 
-    Both date columns must be DATEs. The histories are first reduced to one row per key and
-    day and the left side to its distinct (key, day) pairs, so a key has at most one row per
-    calendar day and side: no pairs are formed within a key, and the window below has a bounded
-    group even when one key holds a large part of the rows. Several histories share one window
-    and one join back. `attributes` (one row per key) ride along: they join the reduced rows,
-    which are already partitioned by key, instead of the full left side.
+    Both date columns must be DATEs. Each history becomes a row per key, with its rows in order of their days, at most one
+    a day; each left row then picks the latest of its list that it may know. So a statement is moved once per borrower and
+    not once per facility, no pairs are formed within a key, and the join back is one of narrow left rows with a row per
+    key, where adaptive execution can split a key that holds a large part of the left rows. `attributes` (one row per
+    key) ride along with the lists.
     """
     slots = [f"_row{i}" for i in range(len(histories))]
-    timeline = left.select(by, F.col(left_on).alias("_at")).distinct().withColumn("_asked", F.lit(1))
+    known = left.select(by).distinct()
     for slot, history in zip(slots, histories):
-        rows = history.rows.filter(F.col(by).isNotNull() & F.col(history.on).isNotNull())
-        daily = rows.groupBy(by, F.col(history.on).alias("_at")).agg(
-            F.max(_ordered_row(rows, history.on, history.prefer, by)).alias(slot)
-        )
-        timeline = timeline.unionByName(daily.withColumn("_asked", F.lit(0)), allowMissingColumns=True)
-
-    # A missing date sorts first, before anything is known.
-    until_now = Window.partitionBy(by).orderBy("_at", "_asked").rowsBetween(Window.unboundedPreceding, 0)
-    answered = (
-        timeline.withColumns({slot: F.last(slot, ignorenulls=True).over(until_now) for slot in slots})
-        .filter("_asked = 1")
-        .drop("_asked")
-    )
+        rows = history.rows.filter(F.col(by).isNotNull())
+        daily = rows.groupBy(by, history.on).agg(F.max(_ordered_row(rows, history.on, history.prefer, by)).alias("_row"))
+        known = known.join(daily.groupBy(by).agg(F.sort_array(F.collect_list("_row")).alias(slot)), by, "left")
     carried: list[str] = []
     if attributes is not None:
-        answered = answered.join(attributes, by, "left")
+        known = known.join(attributes, by, "left")
         carried = [c for c in attributes.columns if c != by]
-    found = answered.withColumnsRenamed({by: "_by"})
-    matched = F.col(by).eqNullSafe(F.col("_by")) & F.col(left_on).eqNullSafe(F.col("_at"))
-    return left.join(found, matched, "left").select(
-        *left.columns, *carried, *[f"{slot}.*" for slot in slots]
+    known = known.withColumnsRenamed({by: "_by"})
+    # A missing date is on or before nothing, on either side.
+    latest = {
+        slot: F.try_element_at(F.filter(slot, lambda row: row[history.on] <= F.col(left_on)), F.lit(-1))
+        for slot, history in zip(slots, histories)
+    }
+    return (
+        left.join(known, F.col(by).eqNullSafe(F.col("_by")), "left")
+        .select(*left.columns, *carried, *[row.alias(slot) for slot, row in latest.items()])
+        .select(*left.columns, *carried, *[f"{slot}.*" for slot in slots])
     )

@@ -122,15 +122,18 @@ class Portfolio:
         )
 
     def _company_lines(self) -> DataFrame:
-        return self.source("lineitem").join(self._orders(), F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("o_custkey").alias("company_id"),
-            F.year("od").alias("year"),
-            _cents(F.col("l_extendedprice")).alias("cents"),
+        """Amounts are made before the join, so that numbers move and not the texts and fractions they come from."""
+        cents = _cents(F.col("l_extendedprice"))
+        bad = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 25)
+        lines = self.source("lineitem").select(
+            "l_orderkey",
+            cents.alias("cents"),
+            F.when(bad, cents).otherwise(0).alias("bad_cents"),
             F.round(F.col("l_discount") * 100).cast("bigint").alias("discount_pct"),
             F.round(F.col("l_tax") * 100).cast("bigint").alias("tax_pct"),
-            "l_returnflag",
-            "l_quantity",
         )
+        orders = self._orders().select("o_orderkey", F.col("o_custkey").alias("company_id"), F.year("od").alias("year"))
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
 
     def financial_statements(self) -> DataFrame:
         cents = F.col("cents")
@@ -173,11 +176,8 @@ class Portfolio:
         )
 
     def rating_history(self) -> DataFrame:
-        cents = F.col("cents")
-        bad = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 25)
         yearly = self._company_lines().groupBy("company_id", "year").agg(
-            F.sum(cents).alias("all_cents"),
-            F.sum(F.when(bad, cents).otherwise(0)).alias("bad_cents"),
+            F.sum("cents").alias("all_cents"), F.sum("bad_cents").alias("bad_cents")
         )
         pd = F.round(F.least(F.lit(0.45), 0.001 + 0.15 * (F.col("bad_cents") / F.col("all_cents"))), 6)
         c, year = F.col("company_id"), F.col("year")
@@ -193,15 +193,21 @@ class Portfolio:
     def payments(self) -> DataFrame:
         price, quantity, returned = F.col("l_extendedprice"), F.col("l_quantity"), F.col("l_returnflag")
         shift = F.datediff(F.col("l_shipdate").cast("date"), F.lit(SHIFT_ORIGIN)) % 730
-        return self.source("lineitem").join(self._orders(), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        # As with company lines, what moves to the orders is numbers.
+        lines = self.source("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", shift.alias("shift"),
+            (price * F.col("l_discount")).alias("outstanding_balance"),
+            F.when((returned == "R") & (quantity >= 49), 95).when((returned == "R") & (quantity >= 46), 35)
+            .when((returned == "A") & (quantity >= 40), 15).otherwise(0).alias("days_past_due"),
+        )
+        return lines.join(self._orders(), F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payment_id"),
             F.col("l_orderkey").alias("facility_id"),
-            F.date_add("od", shift).alias("payment_date"),
+            F.date_add("od", F.col("shift")).alias("payment_date"),
             price.alias("scheduled_amount"),
             (price * (1 - F.col("l_discount"))).alias("paid_amount"),
-            F.when((returned == "R") & (quantity >= 49), 95).when((returned == "R") & (quantity >= 46), 35)
-            .when((returned == "A") & (quantity >= 40), 15).otherwise(0).alias("days_past_due"),
-            (price * F.col("l_discount")).alias("outstanding_balance"),
+            "days_past_due",
+            "outstanding_balance",
         )
 
     def defaults(self) -> DataFrame:

@@ -58,6 +58,16 @@ def test_asof_join_brute_force(spark):
         assert r["label"] == dict(names).get(r["company"])
 
 
+def test_asof_join_moves_histories_once_per_key(spark):
+    """Wide history rows go to their key and from there to the left rows: no timeline of all asked days carries them."""
+    left = spark.createDataFrame([(i, i % 5, day(i)) for i in range(50)], "id int, k int, seen date")
+    rows = spark.createDataFrame([(k, day(d), d) for k in range(5) for d in (3, 9, None) if d] + [(1, None, 7)], "k int, on date, v int")
+    joined = asof_join(left, [History(rows, "on")], by="k", left_on="seen", attributes=spark.createDataFrame([(k, "x") for k in range(5)], "k int, label string"))
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "Union" not in text
+    assert sorted((r["id"], r["v"]) for r in joined.collect()) == [(i, 9 if i >= 9 else 3 if i >= 3 else None) for i in range(50)]
+
+
 def test_latest_row(spark):
     data = [("a", day(1), "x", 1), ("a", day(5), "p", 2), ("a", day(5), "q", 3), ("a", day(9), "z", 4), ("b", day(8), "k", 5), (None, day(1), "n", 6)]
     df = spark.createDataFrame(data, "k string, d date, id string, v int")
