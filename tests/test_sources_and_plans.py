@@ -1,6 +1,7 @@
 """Readers, sinks, entry points, physical plans, hot keys."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as spark_entry
 from lossledger import session
 from lossledger.operators import marts, rollups, staging
-from lossledger.plans import source_checks
+from lossledger.plans import catalog, source_checks
 from lossledger.plans.catalog import QUERIES, Frames
 from lossledger.sources import publication, readers, writers
 from lossledger.sources.portfolio import REPORTING_DATE, Portfolio
@@ -139,6 +140,49 @@ def test_hot_borrower_and_hot_facility(spark, raw):
     assert staged.count() == facilities.count()
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_numbers_move_from_lines_to_orders(raw, no_broadcast):
+    """Flags, quantities and timestamps become numbers below the shuffle of the line items."""
+    fresh = Portfolio(raw["payments"].sparkSession, SMALL).raw()
+    for table in ("payments", "rating_history", "financial_statements"):
+        lines = plan(fresh[table]).split("\n")
+        (moved,) = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(l_orderkey" in line]
+        columns = re.sub(r"(CASE|datediff\(|cast\(|\().*? AS ", "", moved)
+        assert "Project" in moved and not re.search(r"[\[ ](l_returnflag|l_quantity|l_shipdate)#", columns), moved
+
+
+def test_staging_moves_no_mart_rows_by_company(spark, no_broadcast):
+    """Current ratings come to the facilities, so the outermost join is by facility."""
+    text = plan(Frames(spark, SMALL).staging_sample)
+    assert re.search(r"SortMergeJoin \[(\w+)#", text).group(1) == "facility_id"
+
+
+def test_a_facility_id_that_comes_again_keeps_the_rating_of_its_company(spark):
+    rated = spark.createDataFrame([(1, "A"), (2, "B")], "company_id bigint, current_rating_grade string")
+    twice = spark.createDataFrame([(7, 1), (7, 2), (7, 2), (8, 3), (9, None)], "facility_id bigint, company_id bigint")
+    lists = {r["facility_id"]: sorted(tuple(x) for x in r["_rated"]) for r in marts.rated_facilities(twice, rated).collect()}
+    assert lists == {7: [(1, "A"), (2, "B")]}
+
+
+def test_reports_store_the_mart_once(spark):
+    """Over a stored mart the stability sample and the checked staging sample are not stored or built again."""
+    frames = Frames(spark, SMALL)
+    frames.mart = frames.stored_mart
+    tables = frames.quality_tables(frames.mart, frames.mart)
+    assert tables["mart.ifrs9_staging_sample"] is frames.mart
+    with pytest.MonkeyPatch.context() as patch:
+        stored = []
+        patch.setattr(catalog, "materialize", lambda df: stored.append(df) or df)
+        frames.psi_details
+    assert not stored
+
+
 def test_payment_window_and_missing_payments(spark):
     facilities = spark.createDataFrame([("f", dt.date(2020, 2, 29)), ("none", dt.date(2020, 1, 1))], "facility_id string, observation_date date")
     rows = [
